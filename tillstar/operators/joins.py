@@ -1,0 +1,23 @@
+"""Join helpers.
+
+Large sides are left to Catalyst and AQE (sort-merge join, skew split, runtime switch to
+broadcast when the measured size is small). A broadcast hint is only ever placed behind
+``bounded_broadcast``, which proves the row bound first and falls back to a plain join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension we hint for broadcast; far below executor memory at any row width here.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if df has at most ``max_rows`` rows, else df unchanged.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
