@@ -12,6 +12,7 @@ def dense_rank_ids(df: DataFrame, col: str, id_col: str, num_partitions: int | N
     A global ``dense_rank().over(Window.orderBy(col))`` runs in one task. Instead the distinct
     values are range-partitioned, numbered inside each partition, and shifted by the number of
     values in all lower partitions. The only single-task step works on one row per partition.
+    Nothing runs eagerly: the range sampling happens when (and only if) the plan executes.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

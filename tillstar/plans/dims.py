@@ -84,15 +84,33 @@ def dim_orders(orders: DataFrame) -> DataFrame:
                          F.to_date("created_at").alias("created_at"))
 
 
-def build_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All star dimensions from the raw tables."""
-    return {
-        "dim_coupons": dim_coupons(raw["coupons"]),
-        "dim_date": dim_date(raw["orders"]),
-        "dim_customers": dim_customers(raw["customer"]),
-        "dim_login_attempts": dim_login_attempts(raw["login_attemps"], raw["customer"]),
-        "dim_product_categories": dim_product_categories(raw["product_categories"]),
-        "dim_suppliers": dim_suppliers(raw["suppliers"]),
-        "dim_products": dim_products(raw["products"]),
-        "dim_orders": dim_orders(raw["orders"]),
-    }
+# name -> builder over the raw tables
+BUILDERS = {
+    "dim_coupons": lambda raw: dim_coupons(raw["coupons"]),
+    "dim_date": lambda raw: dim_date(raw["orders"]),
+    "dim_customers": lambda raw: dim_customers(raw["customer"]),
+    "dim_login_attempts": lambda raw: dim_login_attempts(raw["login_attemps"], raw["customer"]),
+    "dim_product_categories": lambda raw: dim_product_categories(raw["product_categories"]),
+    "dim_suppliers": lambda raw: dim_suppliers(raw["suppliers"]),
+    "dim_products": lambda raw: dim_products(raw["products"]),
+    "dim_orders": lambda raw: dim_orders(raw["orders"]),
+}
+
+
+class LazyDims(dict):
+    """Mapping name -> dimension DataFrame, each built on first access (building a plan may
+    run a small size check, so only the dimensions a query uses are built)."""
+
+    def __init__(self, raw):
+        super().__init__()
+        self._raw = raw
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = BUILDERS[name](self._raw)
+        self[name] = df
+        return df
+
+
+def build_all(raw) -> LazyDims:
+    """All star dimensions from the raw tables, built lazily."""
+    return LazyDims(raw)

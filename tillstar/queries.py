@@ -292,7 +292,7 @@ def check_not_null(spark, sf_dir):
 def check_length(spark, sf_dir):
     """C4 report over every VARCHAR(n) column of both models."""
     m = Model(spark, sf_dir)
-    tables = {f"dimensional.{k}": v for k, v in m.star.items()}
+    tables = {f"dimensional.{k}": m.star[k] for k in dims.BUILDERS if schemas.SPECS[f"dimensional.{k}"].max_length}
     tables["dbo.dim_product"] = m.erd["dim_product"]
     return quality.length_report([(n, df, schemas.SPECS[n].max_length) for n, df in tables.items()
                                   if schemas.SPECS[n].max_length])

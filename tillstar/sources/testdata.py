@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.keys import dense_rank_ids
 from tillstar.operators.dedup import keep_last
-from tillstar.operators.joins import bounded_broadcast
 
 # Version columns of the order item mapping: l_shipdate, l_partkey, l_suppkey order the
 # duplicates of one (l_orderkey, l_linenumber) totally.
@@ -27,9 +26,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The test table ``name`` (footer read once per instance)."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     # -- order_items (avro source): lineitem, keep-last per id by version
     @cached_property
@@ -68,17 +71,21 @@ class TestTables:
                         F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"))
 
     # -- product catalogue (sheets)
+    @cached_property
+    def _category_ids(self) -> DataFrame:
+        """(p_type, id). Joined back to parts with a plain join: the planner broadcasts it when
+        its estimate is small, and AQE switches to broadcast once it measures it otherwise."""
+        return dense_rank_ids(self.table("part"), "p_type", "id")
+
     @cached_property
     def product_categories(self) -> DataFrame:
-        ids = dense_rank_ids(self.table("part"), "p_type", "id")
-        return ids.select("id", F.col("p_type").alias("name"))
+        return self._category_ids.select("id", F.col("p_type").alias("name"))
 
     @cached_property
     def products(self) -> DataFrame:
         part = self.table("part")
         n_suppliers = self.table("supplier").select(F.count(F.lit(1))).scalar()
-        cats = bounded_broadcast(self.product_categories.select(F.col("name").alias("p_type"),
-                                                                F.col("id").alias("category_id")))
+        cats = self._category_ids.select("p_type", F.col("id").alias("category_id"))
         return (part.join(cats, "p_type", "left")
                 .select(F.col("p_partkey").cast("bigint").alias("id"),
                         F.col("p_name").alias("name"),
@@ -89,7 +96,7 @@ class TestTables:
     @cached_property
     def suppliers(self) -> DataFrame:
         s = self.table("supplier")
-        n = bounded_broadcast(self.table("nation").select("n_nationkey", "n_name"))
+        n = self.table("nation").select("n_nationkey", "n_name")
         return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
                 .select(F.col("s_suppkey").cast("bigint").alias("id"),
                         F.col("s_name").alias("name"),
@@ -117,9 +124,27 @@ class TestTables:
                         (F.col("event_type") != F.lit("error")).alias("login_successful"),
                         F.col("ts").cast("timestamp_ntz").alias("attempted_at"))
 
-    def raw(self) -> dict[str, DataFrame]:
-        return {n: getattr(self, n) for n in ("coupons", "customer", "login_attemps", "order_items", "orders",
-                                              "product_categories", "products", "suppliers")}
+    def raw(self) -> "RawTables":
+        return RawTables(self)
+
+
+RAW_NAMES = ("coupons", "customer", "login_attemps", "order_items", "orders", "product_categories", "products",
+             "suppliers")
+
+
+class RawTables(dict):
+    """Mapping name -> raw DataFrame that builds each table on first access only."""
+
+    def __init__(self, tables: TestTables):
+        super().__init__()
+        self._tables = tables
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in RAW_NAMES:
+            raise KeyError(name)
+        df = getattr(self._tables, name)
+        self[name] = df
+        return df
 
 
 # The same mapping in DuckDB SQL, as CTE bodies (used by the oracle queries).
