@@ -57,8 +57,14 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str])
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return replace(df, table, partition_by)
-    (df.select(*spark.table(table).columns).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    # ``insertInto`` takes the mode from the session, not from a writer option
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
 
 
 def swap_in(spark: SparkSession, staging: str, table: str) -> None:
