@@ -83,3 +83,17 @@ def test_overwrite_partitions_is_rerun_safe(spark, scratch):
     load.overwrite_partitions(df.where("day = '2024-01-02'").withColumn("v", F.lit(5)), "t_parts.m", ["day"])
     got = sorted((r.day, r.v) for r in spark.table("t_parts.m").collect())
     assert got == [("2024-01-01", 1), ("2024-01-02", 5)]
+
+
+def test_upsert_partitions_touches_only_source_partitions(spark, scratch):
+    load.create_layer(spark, "t_up", scratch)
+    rows = [(k, k // 10, 7, "new") for k in range(40)]
+    df = spark.createDataFrame(rows, "order_key bigint, key_range bigint, customers_key bigint, status string")
+    load.upsert_partitions(spark, "t_up.o", df, ["order_key"], ["status"], ["key_range"])
+    src = spark.createDataFrame([(5, 0, 8, "paid"), (41, 4, 9, "new")],
+                                "order_key bigint, key_range bigint, customers_key bigint, status string")
+    load.upsert_partitions(spark, "t_up.o", src, ["order_key"], ["status"], ["key_range"])
+    load.upsert_partitions(spark, "t_up.o", src, ["order_key"], ["status"], ["key_range"])
+    got = {r.order_key: (r.customers_key, r.status) for r in spark.table("t_up.o").collect()}
+    assert len(got) == 41 and spark.table("t_up.o").count() == 41
+    assert got[5] == (7, "paid") and got[41] == (9, "new") and got[15] == (7, "new")

@@ -23,14 +23,14 @@ from tillstar.sources.files import READ_ORDER
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None,
               drop_order: bool = True) -> DataFrame:
-    """One row per ``keys``: the greatest by ``order`` (default: the read position).
+    """One row per ``keys``: the greatest by ``order`` (default: the read position, whose
+    columns are dropped from the result unless ``drop_order`` is False).
 
-    Rows with NULL keys form one group each per NULL pattern, as in pandas.
-    """
+    Rows with NULL keys form one group per NULL pattern, as in pandas."""
     order = list(order) if order else list(READ_ORDER)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order_cols])
     out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    if drop_order and not order_cols is None:
-        out = out.drop(*[o for o in order if isinstance(o, str) and o in READ_ORDER])
+    if drop_order:
+        out = out.drop(*[c for c in READ_ORDER if c in out.columns])
     return out

@@ -86,3 +86,22 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Seque
         return replace(merged, table)
     replace(merged, staging)
     swap_in(spark, staging, table)
+
+
+def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
+                      update_cols: Sequence[str], partition_by: Sequence[str]) -> None:
+    """K3 for a large table partitioned by columns that are a function of the key (they never
+    change for a key, e.g. a key range, or the day of a date key).
+
+    Only the partitions the source touches are read (a semi join on the partition columns,
+    pruned at the scan), merged, and rewritten with dynamic partition overwrite; the rest of
+    the table is not read or written. New files are staged by the commit protocol and moved
+    in only when every task has finished."""
+    partition_by = list(partition_by)
+    if not spark.catalog.tableExists(table):
+        merged = upsert(spark.createDataFrame([], source.schema), source, keys, update_cols)
+        return replace(merged, table, partition_by)
+    touched = source.select(*partition_by).distinct()
+    target = spark.table(table).join(touched, partition_by, "left_semi")
+    merged = upsert(target, source, keys, update_cols)
+    overwrite_partitions(merged, table, partition_by)

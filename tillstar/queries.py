@@ -20,7 +20,7 @@ from tillstar.operators.dedup import keep_last
 from tillstar.plans import dims, erd, facts, marts
 from tillstar.session import new_scratch_dir
 from tillstar.sources import files
-from tillstar.sources.testdata import ITEM_VERSION, TestTables
+from tillstar.sources.testdata import ITEM_VERSION, SourceTables
 
 
 class Model:
@@ -28,7 +28,7 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.t = TestTables(spark, sf_dir)
+        self.t = SourceTables(spark, sf_dir)
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
@@ -143,14 +143,14 @@ def customer_activity(spark, sf_dir):
 # ----------------------------------------------------------------- cleaning, sources
 def dedup_keep_last(spark, sf_dir):
     """P6 over all lineitem-derived order item versions."""
-    t = TestTables(spark, sf_dir)
+    t = SourceTables(spark, sf_dir)
     return keep_last(t.order_item_versions, ["id"], ITEM_VERSION).drop(*ITEM_VERSION)
 
 
 def union_by_name(spark, sf_dir):
     """Customers arriving in two layouts (the second in another column order and without
     zip codes) concatenated by name."""
-    c = TestTables(spark, sf_dir).customer
+    c = SourceTables(spark, sf_dir).customer
     a = c.where(F.col("zip_code") < "00013")
     b = c.where(F.col("zip_code") >= "00013").select("gender", "address", "last_name", "first_name", "id")
     return files.union_all_by_name([a, b])
@@ -159,28 +159,28 @@ def union_by_name(spark, sf_dir):
 def scan_csv_multi(spark, sf_dir):
     """Customers written as 10 CSV files with an unnamed index column, read back."""
     path = new_scratch_dir(spark, "customer-csv")
-    files.write_csv(TestTables(spark, sf_dir).customer, path, num_files=10, index_column=True)
+    files.write_csv(SourceTables(spark, sf_dir).customer, path, num_files=10, index_column=True)
     return files.read_csv(spark, path, schemas.RAW["customer"], index_column=True)
 
 
 def scan_json_columns(spark, sf_dir):
     """Coupons written as column-oriented JSON documents, read back."""
     path = new_scratch_dir(spark, "coupons-json")
-    files.write_json_columns(TestTables(spark, sf_dir).coupons, path, num_files=2)
+    files.write_json_columns(SourceTables(spark, sf_dir).coupons, path, num_files=2)
     return files.read_json_columns(spark, path, schemas.RAW["coupons"])
 
 
 def scan_json_records(spark, sf_dir):
     """S3: login attempts written as 10 JSON-lines files, read back."""
     path = new_scratch_dir(spark, "logins-json")
-    files.write_json_records(TestTables(spark, sf_dir).login_attemps, path, num_files=10)
+    files.write_json_records(SourceTables(spark, sf_dir).login_attemps, path, num_files=10)
     return files.read_json_records(spark, path, schemas.RAW["login_attemps"])
 
 
 def scan_parquet(spark, sf_dir):
     """Orders written as parquet, read back."""
     path = new_scratch_dir(spark, "orders-parquet")
-    TestTables(spark, sf_dir).orders.write.mode("overwrite").parquet(path)
+    SourceTables(spark, sf_dir).orders.write.mode("overwrite").parquet(path)
     return files.read_parquet(spark, path, schemas.RAW["orders"])
 
 
@@ -194,7 +194,7 @@ def _database(spark: SparkSession, label: str) -> str:
 
 def load_replace(spark, sf_dir):
     """K1: a stale load of orders replaced by the current one."""
-    t = TestTables(spark, sf_dir)
+    t = SourceTables(spark, sf_dir)
     table = f"{_database(spark, 'raw')}.orders"
     load.replace(t.orders.withColumn("status", F.lower("status")), table)
     load.replace(t.orders, table)
@@ -247,7 +247,7 @@ def upsert_orders_subset(spark, sf_dir):
 # ----------------------------------------------------------------- constraint checks
 def check_primary_key(spark, sf_dir):
     """Duplicate order item ids among all lineitem-derived versions."""
-    return quality.check_primary_key(TestTables(spark, sf_dir).order_item_versions.select("id"), ["id"])
+    return quality.check_primary_key(SourceTables(spark, sf_dir).order_item_versions.select("id"), ["id"])
 
 
 def _star_fk_checks(m: Model):

@@ -20,7 +20,7 @@ from tillstar.operators.dedup import keep_last
 ITEM_VERSION = ("_v_shipdate", "_v_partkey", "_v_suppkey")
 
 
-class TestTables:
+class SourceTables:
     """Lazy raw tables over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -135,7 +135,7 @@ RAW_NAMES = ("coupons", "customer", "login_attemps", "order_items", "orders", "p
 class RawTables(dict):
     """Mapping name -> raw DataFrame that builds each table on first access only."""
 
-    def __init__(self, tables: TestTables):
+    def __init__(self, tables: SourceTables):
         super().__init__()
         self._tables = tables
 
