@@ -68,10 +68,15 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str])
 
 
 def swap_in(spark: SparkSession, staging: str, table: str) -> None:
-    """Make the fully written ``staging`` table the current ``table``."""
+    """Make the fully written ``staging`` table the current ``table``.
+
+    Another session that read ``table`` before the swap (e.g. the driver session of a stream
+    whose micro-batches swap) must ``REFRESH TABLE`` before reading it again."""
     if spark.catalog.tableExists(table):
         spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    # the new table reuses the old location: drop cached file listings of it
+    spark.catalog.refreshTable(table)
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],

@@ -46,15 +46,21 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def with_read_position(df: DataFrame, paths: Sequence[str], in_row: Column | None = None) -> DataFrame:
-    """Add the ``READ_ORDER`` columns. Must be applied directly on a file scan."""
+def with_read_position(df: DataFrame, paths: Sequence[str], in_row: Column | None = None,
+                       meta: str = "_metadata") -> DataFrame:
+    """Add the ``READ_ORDER`` columns. Must be applied directly on a file scan; ``meta`` names
+    the file metadata struct (the hidden ``_metadata`` column, or a copy of it)."""
     ordinals = {_norm_path_py(p).rstrip("/"): i for i, p in enumerate(paths)}
-    # a literal map of the caller's file list: bounded by the list, not by the data
-    ordmap = F.create_map(*[x for k, v in ordinals.items() for x in (F.lit(k), F.lit(v))])
-    fpath = _norm_path(F.col("_metadata.file_path"))
-    return (df.withColumn("_file_ordinal", F.coalesce(F.element_at(ordmap, fpath), F.lit(0)))
+    fpath = _norm_path(F.col(f"{meta}.file_path"))
+    if ordinals:
+        # a literal map of the caller's file list: bounded by the list, not by the data
+        ordmap = F.create_map(*[x for k, v in ordinals.items() for x in (F.lit(k), F.lit(v))])
+        ordinal = F.coalesce(F.element_at(ordmap, fpath), F.lit(0))
+    else:
+        ordinal = F.lit(0)
+    return (df.withColumn("_file_ordinal", ordinal)
               .withColumn("_file_path", fpath)
-              .withColumn("_split_start", F.col("_metadata.file_block_start"))
+              .withColumn("_split_start", F.col(f"{meta}.file_block_start"))
               .withColumn("_row_id", F.monotonically_increasing_id())
               .withColumn("_in_row", in_row if in_row is not None else F.lit(0)))
 
