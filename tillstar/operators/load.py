@@ -36,9 +36,17 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
+def _for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition value brought together before a partitioned write, in files of
+    about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: AQE splits a large partition value
+    over several tasks and packs small ones together (REBALANCE), instead of every task writing
+    a small file into every partition or one task writing a whole month."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """K1: drop and rewrite."""
-    w = df.write.mode("overwrite").format("parquet")
+    w = _for_partitioned_write(df, partition_by).write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)
@@ -49,7 +57,8 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return replace(df, table, partition_by)
-    df.select(*spark.table(table).columns).write.mode("append").format("parquet").insertInto(table)
+    _for_partitioned_write(df.select(*spark.table(table).columns), partition_by).write.mode("append") \
+        .insertInto(table)
 
 
 def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
@@ -62,7 +71,8 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str])
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        _for_partitioned_write(df.select(*spark.table(table).columns), partition_by).write.mode("overwrite") \
+            .insertInto(table)
     finally:
         spark.conf.set(key, before)
 
