@@ -93,14 +93,13 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
         table = f"{schemas.D}.{name}"
         load.upsert_table(spark, f"{dim_db}.{name}", load.conform(df, table), [key], update_columns(table))
 
-    # marts
+    # marts: one shared (day, product) base, cut from its lineage by a reliable checkpoint
+    sales = marts.daily_product_sales(f, d["dim_date"], d["dim_products"]).checkpoint()
     per = {
-        "daily_order_revenue_per_product": marts.daily_revenue_per_product(
-            f, d["dim_date"], d["dim_products"], d["dim_suppliers"], d["dim_product_categories"]),
-        "daily_order_revenue_per_categories": marts.daily_revenue_per_category(
-            f, d["dim_date"], d["dim_products"], d["dim_product_categories"]),
-        "daily_order_revenue_per_suppliers": marts.daily_revenue_per_supplier(
-            f, d["dim_date"], d["dim_products"], d["dim_suppliers"]),
+        "daily_order_revenue_per_product": marts.revenue_by_day_product(sales, d["dim_suppliers"],
+                                                                        d["dim_product_categories"]),
+        "daily_order_revenue_per_categories": marts.revenue_by_day_category(sales, d["dim_product_categories"]),
+        "daily_order_revenue_per_suppliers": marts.revenue_by_day_supplier(sales, d["dim_suppliers"]),
     }
     for name, df in per.items():
         stored = _year_month(load.conform(df, f"{schemas.P}.{name}"))
@@ -109,7 +108,7 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
             load.append(stored, target, ["year", "month"])
         else:
             load.overwrite_partitions(stored, target, ["year", "month"])
-    daily = _year_month(load.conform(marts.daily_revenue(f, d["dim_date"]), f"{schemas.P}.daily_order_revenue"))
+    daily = _year_month(load.conform(marts.revenue_by_day(sales), f"{schemas.P}.daily_order_revenue"))
     load.upsert_partitions(spark, f"{pres_db}.daily_order_revenue", daily, ["date"], ["amount", "revenue"],
                            ["year", "month"])
 
