@@ -1,13 +1,9 @@
 """The ingest + model job end to end, on files written from the smallest test tables."""
 import pytest
-from pyspark.sql import Window
-from pyspark.sql import functions as F
 
 from tillstar.plans import warehouse
 from tillstar.queries import QUERIES
-from tillstar.sources import files
-from tillstar.sources.spec import SourceSpec
-from tillstar.sources.testdata import ITEM_VERSION, SourceTables
+from tillstar.sources.testdata import SourceTables, write_source_files
 
 from conftest import SF_SMALL
 
@@ -16,38 +12,11 @@ def _rows(df):
     return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
 
 
-def _paths(spark, folder):
-    import glob
-    return tuple(sorted(glob.glob(folder.replace("file:", "") + "/part-*")))
-
-
 @pytest.fixture(scope="module")
 def built(spark):
     from tillstar.session import new_scratch_dir
     root = new_scratch_dir(spark, "warehouse")
-    t = SourceTables(spark, SF_SMALL)
-    # order items arrive as two files: older versions first, then the latest version of each id
-    v = t.order_item_versions.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("id").orderBy(*[F.col(c).desc() for c in ITEM_VERSION])))
-    cols = ["id", "order_id", "product_id", "amount", "coupon_id"]
-    v.where("_rn > 1").select(*cols).coalesce(1).write.parquet(f"{root}/items_old")
-    v.where("_rn = 1").select(*cols).coalesce(1).write.parquet(f"{root}/items_new")
-    files.write_csv(t.customer, f"{root}/customer", 10)
-    files.write_json_records(t.login_attemps, f"{root}/logins", 10)
-    files.write_json_columns(t.coupons, f"{root}/coupons", 1)
-    t.orders.coalesce(1).write.parquet(f"{root}/orders")
-    for name in ("product_categories", "products", "suppliers"):
-        files.write_csv(getattr(t, name), f"{root}/{name}", 1)
-    specs = [
-        SourceSpec("coupons", "json_columns", _paths(spark, f"{root}/coupons")),
-        SourceSpec("customer", "csv", _paths(spark, f"{root}/customer")),
-        SourceSpec("login_attemps", "json_records", _paths(spark, f"{root}/logins")),
-        SourceSpec("order_items", "parquet", _paths(spark, f"{root}/items_old") + _paths(spark, f"{root}/items_new")),
-        SourceSpec("orders", "parquet", _paths(spark, f"{root}/orders")),
-        SourceSpec("product_categories", "csv", _paths(spark, f"{root}/product_categories")),
-        SourceSpec("products", "csv", _paths(spark, f"{root}/products")),
-        SourceSpec("suppliers", "csv", _paths(spark, f"{root}/suppliers")),
-    ]
+    specs = write_source_files(spark, SF_SMALL, root)
     warehouse.ingest(spark, specs, "wh_raw", f"{root}/raw")
     locs = {"wh_dim": f"{root}/dim", "wh_pres": f"{root}/pres"}
     warehouse.build_star(spark, "wh_raw", "wh_dim", "wh_pres", locs)
@@ -66,6 +35,7 @@ def test_star_tables_match_queries(spark, built):
                          ("wh_dim.fact_product_category_performance", "category_performance")):
         got = spark.table(table).drop("key_range")
         assert _rows(got) == _rows(QUERIES[query](spark, SF_SMALL)), table
+    assert "key_range" in spark.table("wh_dim.dim_orders").columns       # stored in key-range partitions
     for table, query in (("wh_pres.daily_order_revenue", "daily_revenue"),
                          ("wh_pres.daily_order_revenue_per_product", "daily_revenue_per_product"),
                          ("wh_pres.daily_order_revenue_per_categories", "daily_revenue_per_category"),

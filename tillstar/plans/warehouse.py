@@ -30,9 +30,15 @@ KEEP_ON_CONFLICT = {
     "dim_orders": ("customers_key",),
 }
 
-# The sales fact is stored in partitions of this many consecutive keys, so an upsert rewrites
-# only the key ranges its batch touches.
+# The sales fact and the dimensions that grow with the data are stored in partitions of this
+# many consecutive keys (column ``key_range``), so an upsert rewrites only the key ranges its
+# batch touches. Coupons, categories and days are bounded and merged as whole tables.
 KEY_RANGE_WIDTH = 1 << 24
+KEY_RANGED_DIMS = ("dim_customers", "dim_login_attempts", "dim_suppliers", "dim_products", "dim_orders")
+
+
+def with_key_range(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn("key_range", F.floor(F.col(key) / F.lit(KEY_RANGE_WIDTH)).cast("bigint"))
 
 
 def update_columns(table: str) -> list[str]:
@@ -68,20 +74,23 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
     load.create_layer(spark, pres_db, locations.get(pres_db))
     raw = _raw(spark, raw_db)
 
-    # dimensions (K3 each, whole-table merge: dimensions are far smaller than the fact)
+    # dimensions (K3 each)
     for name, build in dims.BUILDERS.items():
         table = f"{schemas.D}.{name}"
         spec = schemas.SPECS[table]
-        load.upsert_table(spark, f"{dim_db}.{name}", load.conform(build(raw), table), spec.primary_key,
-                          update_columns(table))
-    d = {n: spark.table(f"{dim_db}.{n}") for n in dims.BUILDERS}
+        df = load.conform(build(raw), table)
+        if name in KEY_RANGED_DIMS:
+            load.upsert_partitions(spark, f"{dim_db}.{name}", with_key_range(df, spec.primary_key[0]),
+                                   spec.primary_key, update_columns(table), ["key_range"])
+        else:
+            load.upsert_table(spark, f"{dim_db}.{name}", df, spec.primary_key, update_columns(table))
+    d = {n: spark.table(f"{dim_db}.{n}").drop("key_range") for n in dims.BUILDERS}
 
     # sales fact: upsert restricted to the key ranges of this batch
     fact_name = f"{schemas.D}.fact_sales_orders"
     fact = load.conform(facts.fact_sales_orders(raw["order_items"], d["dim_products"], d["dim_orders"],
                                                 d["dim_customers"], d["dim_coupons"]), fact_name)
-    fact = fact.withColumn("key_range", F.floor(F.col("sale_order_key") / F.lit(KEY_RANGE_WIDTH)).cast("bigint"))
-    load.upsert_partitions(spark, f"{dim_db}.fact_sales_orders", fact, ["sale_order_key"],
+    load.upsert_partitions(spark, f"{dim_db}.fact_sales_orders", with_key_range(fact, "sale_order_key"), ["sale_order_key"],
                            update_columns(fact_name), ["key_range"])
     f = spark.table(f"{dim_db}.fact_sales_orders").drop("key_range")
 

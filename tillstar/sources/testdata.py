@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.keys import dense_rank_ids
 from tillstar.operators.dedup import keep_last
+from tillstar.sources import files
+from tillstar.sources.spec import SourceSpec
 
 # Version columns of the order item mapping: l_shipdate, l_partkey, l_suppkey order the
 # duplicates of one (l_orderkey, l_linenumber) totally.
@@ -195,3 +197,35 @@ RAW_CTE_ORDER = ("order_item_versions", "order_items", "coupons", "orders", "pro
 def raw_with_clause(needed: tuple[str, ...] = RAW_CTE_ORDER) -> str:
     """``WITH raw_x AS (...), ...`` for the raw tables (all of them: DuckDB drops unused CTEs)."""
     return "WITH " + ",\n".join(f"raw_{k} AS ({RAW_SQL[k]})" for k in RAW_CTE_ORDER)
+
+
+def write_source_files(spark: SparkSession, sf_dir: str, root: str) -> list[SourceSpec]:
+    """Lay the raw sources out as the ingest job finds them, derived from one test scale:
+    customers as 10 CSV files, login attempts as 10 JSON-lines files, coupons as column-oriented
+    JSON, order items as two parquet sets (older versions, then the latest version of each id),
+    orders as parquet, the catalogue as CSV exports. Returns the source list in read order."""
+    import glob
+
+    from pyspark.sql import Window
+
+    t = SourceTables(spark, sf_dir)
+    v = t.order_item_versions.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("id").orderBy(*[F.col(c).desc() for c in ITEM_VERSION])))
+    cols = ["id", "order_id", "product_id", "amount", "coupon_id"]
+    v.where("_rn > 1").select(*cols).write.parquet(f"{root}/items_old")
+    v.where("_rn = 1").select(*cols).write.parquet(f"{root}/items_new")
+    files.write_csv(t.customer, f"{root}/customer", 10)
+    files.write_json_records(t.login_attemps, f"{root}/logins", 10)
+    files.write_json_columns(t.coupons, f"{root}/coupons", 1)
+    t.orders.write.parquet(f"{root}/orders")
+    for name in ("product_categories", "products", "suppliers"):
+        files.write_csv(getattr(t, name), f"{root}/{name}", 1)
+
+    def ls(folder: str) -> tuple[str, ...]:
+        return tuple(sorted(glob.glob(f"{root}/{folder}/part-*".replace("file:", ""))))
+    return [SourceSpec("coupons", "json_columns", ls("coupons")), SourceSpec("customer", "csv", ls("customer")),
+            SourceSpec("login_attemps", "json_records", ls("logins")),
+            SourceSpec("order_items", "parquet", ls("items_old") + ls("items_new")),
+            SourceSpec("orders", "parquet", ls("orders")),
+            SourceSpec("product_categories", "csv", ls("product_categories")),
+            SourceSpec("products", "csv", ls("products")), SourceSpec("suppliers", "csv", ls("suppliers"))]

@@ -8,7 +8,6 @@ and orders as parquet, the catalogue as CSV exports.
 
 from __future__ import annotations
 
-import glob
 import json
 import os
 import sys
@@ -16,45 +15,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import Window  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
 from tillstar.plans import warehouse  # noqa: E402
 from tillstar.session import build_session, new_scratch_dir  # noqa: E402
-from tillstar.sources import files  # noqa: E402
-from tillstar.sources.spec import SourceSpec  # noqa: E402
-from tillstar.sources.testdata import ITEM_VERSION, SourceTables  # noqa: E402
-
-
-def write_sources(spark, sf_dir: str, root: str) -> list[SourceSpec]:
-    t = SourceTables(spark, sf_dir)
-    v = t.order_item_versions.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("id").orderBy(*[F.col(c).desc() for c in ITEM_VERSION])))
-    cols = ["id", "order_id", "product_id", "amount", "coupon_id"]
-    v.where("_rn > 1").select(*cols).write.parquet(f"{root}/items_old")
-    v.where("_rn = 1").select(*cols).write.parquet(f"{root}/items_new")
-    files.write_csv(t.customer, f"{root}/customer", 10)
-    files.write_json_records(t.login_attemps, f"{root}/logins", 10)
-    files.write_json_columns(t.coupons, f"{root}/coupons", 1)
-    t.orders.write.parquet(f"{root}/orders")
-    for name in ("product_categories", "products", "suppliers"):
-        files.write_csv(getattr(t, name), f"{root}/{name}", 1)
-
-    def ls(folder):
-        return tuple(sorted(glob.glob(f"{root}/{folder}/part-*".replace("file:", ""))))
-    return [SourceSpec("coupons", "json_columns", ls("coupons")), SourceSpec("customer", "csv", ls("customer")),
-            SourceSpec("login_attemps", "json_records", ls("logins")),
-            SourceSpec("order_items", "parquet", ls("items_old") + ls("items_new")),
-            SourceSpec("orders", "parquet", ls("orders")),
-            SourceSpec("product_categories", "csv", ls("product_categories")),
-            SourceSpec("products", "csv", ls("products")), SourceSpec("suppliers", "csv", ls("suppliers"))]
+from tillstar.sources.testdata import write_source_files  # noqa: E402
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", 8)
     root = new_scratch_dir(spark, "warehouse-run")
-    specs = write_sources(spark, sf_dir, root)
+    specs = write_source_files(spark, sf_dir, root)
     tag = root.rsplit("-", 1)[-1]
     raw, dim, pres, dbo = (f"{x}_{tag}" for x in ("raw", "dimensional", "presentation", "dbo"))
     locs = {dim: f"{root}/dim", pres: f"{root}/pres"}
