@@ -18,13 +18,17 @@ from tillstar.session import build_session  # noqa: E402
 
 
 def summarise(plan: str) -> dict:
-    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
-                       r"[^\n]*?(Inner|LeftOuter|RightOuter|FullOuter|LeftAnti|LeftSemi|Cross)?,", plan)
+    joins = set()
+    for line in plan.splitlines():
+        m = re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", line)
+        if m:
+            t = re.search(r"\b(Inner|LeftOuter|RightOuter|FullOuter|LeftAnti|LeftSemi|Cross|ExistenceJoin)\b", line)
+            joins.add(f"{m.group(1).replace('Join', '')}:{t.group(1) if t else '?'}")
     return {
         "shuffles": len(re.findall(r"\bExchange (hash|range|Single|RoundRobin)", plan)),
         "reused": plan.count("ReusedExchange"),
         "broadcasts": plan.count("BroadcastExchange"),
-        "joins": ", ".join(sorted({f"{j} {t}".strip() for j, t in joins})) or "-",
+        "joins": ", ".join(sorted(joins)) or "-",
         "partial agg": len(re.findall(r"partial_", plan)) > 0,
         "group limit": "WindowGroupLimit" in plan,
         "nested loop / cartesian": ("BroadcastNestedLoopJoin" in plan) or ("CartesianProduct" in plan),
