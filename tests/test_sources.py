@@ -71,3 +71,26 @@ def test_union_by_name_fills_missing(spark):
     b = spark.createDataFrame([(2,)], "id bigint")
     got = sorted(map(tuple, files.union_all_by_name([a, b]).collect()))
     assert got == [(1, "x"), (2, None)]
+
+
+def test_column_json_from_pandas_with_dates(spark, scratch):
+    import pandas as pd
+    d = scratch.replace("file:", "")
+    pdf = pd.DataFrame({"id": [1, 2], "customer_id": [5, 6], "login_successful": [True, False],
+                        "attempted_at": pd.to_datetime(["2024-01-01 08:30:00.250", "2024-01-02 00:00:00.000"])})
+    p = os.path.join(d, "logins.json")
+    pdf.to_json(p, orient="columns")          # pandas' default layout: dates as epoch milliseconds
+    rows = files.read_json_columns(spark, [p], schemas.RAW["login_attemps"]).orderBy("id").collect()
+    assert [(r.id, r.customer_id, r.login_successful) for r in rows] == [(1, 5, True), (2, 6, False)]
+    assert str(rows[0].attempted_at) == "2024-01-01 08:30:00.250000"
+    assert str(rows[1].attempted_at) == "2024-01-02 00:00:00"
+    iso = os.path.join(d, "logins_iso.json")
+    pdf.to_json(iso, orient="columns", date_format="iso")
+    rows = files.read_json_columns(spark, [iso], schemas.RAW["login_attemps"]).orderBy("id").collect()
+    assert str(rows[0].attempted_at) == "2024-01-01 08:30:00.250000"
+
+
+def test_avro_reports_missing_module(spark, scratch):
+    import pytest
+    with pytest.raises(Exception):
+        files.read_avro(spark, [scratch + "/nothing.avro"], schemas.RAW["order_items"]).collect()

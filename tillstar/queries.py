@@ -170,6 +170,14 @@ def scan_json_columns(spark, sf_dir):
     return files.read_json_columns(spark, path, schemas.RAW["coupons"])
 
 
+def scan_json_columns_logins(spark, sf_dir):
+    """S3 in its default layout: login attempts written as 10 column-oriented JSON files (one
+    document per Arrow batch, timestamps as ISO text), read back."""
+    path = new_scratch_dir(spark, "logins-json-columns")
+    files.write_json_columns(SourceTables(spark, sf_dir).login_attemps, path, num_files=10)
+    return files.read_json_columns(spark, path, schemas.RAW["login_attemps"])
+
+
 def scan_json_records(spark, sf_dir):
     """S3: login attempts written as 10 JSON-lines files, read back."""
     path = new_scratch_dir(spark, "logins-json")
@@ -336,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_by_name": union_by_name,
     "scan_csv_multi": scan_csv_multi,
     "scan_json_columns": scan_json_columns,
+    "scan_json_columns_logins": scan_json_columns_logins,
     "scan_json_records": scan_json_records,
     "scan_parquet": scan_parquet,
     "load_replace": load_replace,

@@ -115,14 +115,16 @@ def _zip_columns(names: Sequence[str]) -> Column:
                          lambda k, a, b: F.struct(a.alias(first), b.alias(rest[0])))
     done = [first, rest[0]]
     for name in rest[1:]:
-        prev = list(done)
-        acc = F.map_zip_with(acc, F.col(name),
-                             lambda k, s, v, prev=prev, name=name:
-                             F.struct(*[s[p].alias(p) for p in prev], v.alias(name)))
+        acc = F.map_zip_with(acc, F.col(name), _add_field(list(done), name))
         done.append(name)
     return acc
 
 
+def _add_field(prev: list[str], name: str):
+    """(label, struct of ``prev``, value) -> struct of ``prev`` + ``name``."""
+    return lambda k, s, v: F.struct(*[s[p].alias(p) for p in prev], v.alias(name))
+
+
 def read_json_columns(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                       positions: bool = False, multiline: bool = False) -> DataFrame:
     """Column-oriented JSON documents: ``{"col": {"label": value, ...}, ...}``.
@@ -133,14 +135,27 @@ def read_json_columns(spark: SparkSession, paths: str | Sequence[str], schema: T
     """
     paths = _as_list(paths)
     names = [f.name for f in schema.fields]
-    doc_schema = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), f.dataType)) for f in schema.fields])
+    # timestamps arrive as text (Spark, ISO) or as epoch milliseconds (pandas' default): read as text
+    is_ts = {f.name: isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)) for f in schema.fields}
+    doc_schema = T.StructType([T.StructField(f.name, T.MapType(T.StringType(),
+                                                               T.StringType() if is_ts[f.name] else f.dataType))
+                               for f in schema.fields])
     docs = spark.read.schema(doc_schema).option("mode", "FAILFAST").option("multiLine", multiline).json(paths)
     if positions:
         docs = with_read_position(docs, paths).drop("_in_row")
     keep = [c for c in READ_ORDER if c != "_in_row"] if positions else []
     rows = docs.select(*keep, F.posexplode(_zip_columns(names)).alias("_in_row", "_label", "_r"))
-    out = rows.select(*keep, *( ["_in_row"] if positions else []), *[F.col("_r")[n].alias(n) for n in names])
-    return out
+    cols = [(_timestamp_text(F.col("_r")[f.name], f.dataType) if is_ts[f.name] else F.col("_r")[f.name]).alias(f.name)
+            for f in schema.fields]
+    return rows.select(*keep, *(["_in_row"] if positions else []), *cols)
+
+
+def _timestamp_text(c: Column, dtype: T.DataType) -> Column:
+    """ISO text -> timestamp; all-digit text -> epoch milliseconds (wall clock in UTC)."""
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+        secs=(c.cast("decimal(20,0)") / 1000).cast("decimal(18,6)"))
+    ntz = F.when(c.rlike("^-?[0-9]+$"), epoch).otherwise(F.to_timestamp_ntz(c))
+    return ntz.cast(dtype)
 
 
 def write_json_columns(df: DataFrame, path: str, num_files: int) -> None:
@@ -154,7 +169,7 @@ def write_json_columns(df: DataFrame, path: str, num_files: int) -> None:
         for pdf in batches:
             if len(pdf):
                 pdf = pdf.reset_index(drop=True)
-                yield pd.DataFrame({"value": [pdf.to_json(orient="columns", date_format="iso")]})
+                yield pd.DataFrame({"value": [pdf.to_json(orient="columns", date_format="iso", date_unit="us")]})
 
     (df.repartition(num_files).mapInPandas(to_docs, "value string")
        .write.mode("overwrite").text(path))
@@ -168,7 +183,13 @@ def read_avro(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     reader = spark.read.format("avro")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(paths)
+    try:
+        df = reader.load(paths)
+    except Exception as e:  # noqa: BLE001
+        if "avro" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("Avro needs the spark-avro module on the classpath "
+                               "(spark.jars.packages=org.apache.spark:spark-avro_2.13:<spark version>)") from e
+        raise
     return with_read_position(df, paths) if positions else df
 
 
