@@ -30,7 +30,7 @@ def create_layer(spark: SparkSession, database: str, location: str | None = None
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Cast and order the columns as the declared table (K4 types, P3 implicit casts)."""
-    spec = SPECS.get(table.split(".", 1)[-1] if table not in SPECS else table)
+    spec = SPECS.get(table)
     if spec is None:
         return df
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])

@@ -45,15 +45,19 @@ def scratch_root(spark: SparkSession) -> str:
     Staging tables, swaps and lineage cuts go here, never to a machine-local folder. Only
     when the session has no checkpoint folder at all (a bare test session) do we pick one.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            root = current.rsplit("/", 1)[0]
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext            # absent on Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root and sc.getCheckpointDir():
+            root = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not root:
         root = tempfile.mkdtemp(prefix="tillstar-ckpt-")
-    if sc.getCheckpointDir() is None:
+        spark.conf.set("spark.checkpoint.dir", root) if sc is None else None
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
