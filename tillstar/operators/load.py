@@ -103,20 +103,51 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Seque
     swap_in(spark, staging, table)
 
 
+def _partition_filter(values, partition_by: Sequence[str]):
+    """OR over the touched partition values (``isin`` for one column); NULL partitions included."""
+    if len(partition_by) == 1:
+        col = partition_by[0]
+        vals = [r[col] for r in values]
+        cond = F.col(col).isin([v for v in vals if v is not None])
+        return cond | F.col(col).isNull() if None in vals else cond
+    cond = None
+    for row in values:
+        c = None
+        for col in partition_by:
+            e = F.col(col).isNull() if row[col] is None else (F.col(col) == F.lit(row[col]))
+            c = e if c is None else (c & e)
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
+# Above this many touched partition values the target is filtered by a semi join instead of a
+# static partition filter (the value list is bounded by the table's partition count, not its rows).
+MAX_PRUNE_VALUES = 20_000
+
+
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                       update_cols: Sequence[str], partition_by: Sequence[str]) -> None:
     """K3 for a large table partitioned by columns that are a function of the key (they never
-    change for a key, e.g. a key range, or the day of a date key).
+    change for a key, e.g. a key range, or the month of a date key).
 
-    Only the partitions the source touches are read (a semi join on the partition columns,
-    pruned at the scan), merged, and rewritten with dynamic partition overwrite; the rest of
-    the table is not read or written. New files are staged by the commit protocol and moved
-    in only when every task has finished."""
+    The batch is checkpointed once (it is read twice). Its distinct partition values, at most one
+    per partition of the table, become a static partition filter on the target, so only the
+    touched partitions are read (``PartitionFilters`` at the scan), merged, and rewritten with
+    dynamic partition overwrite. New files are staged by the commit protocol and moved in only
+    when every task has finished."""
     partition_by = list(partition_by)
     if not spark.catalog.tableExists(table):
         merged = upsert(spark.createDataFrame([], source.schema), source, keys, update_cols)
         return replace(merged, table, partition_by)
-    touched = source.select(*partition_by).distinct()
-    target = spark.table(table).join(touched, partition_by, "left_semi")
-    merged = upsert(target, source, keys, update_cols)
+    batch = source.checkpoint()
+    touched = batch.select(*partition_by).distinct()
+    values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
+    target = spark.table(table)
+    if len(values) > MAX_PRUNE_VALUES:
+        target = target.join(touched, partition_by, "left_semi")
+    elif not values:
+        return
+    else:
+        target = target.where(_partition_filter(values, partition_by))
+    merged = upsert(target, batch, keys, update_cols)
     overwrite_partitions(merged, table, partition_by)
