@@ -38,7 +38,14 @@ def as_money(dec: Column) -> Column:
     return dec.cast("double")
 
 
-def money_sum(col: Column | str) -> Column:
-    """SUM of a stored money DOUBLE, exact: each value is read back as decimal first."""
+def money_sum_dec(col: Column | str) -> Column:
+    """Exact SUM of a stored money DOUBLE: each value is read back as ``decimal(24,6)`` first
+    (the double holds the exact value to far better than 1e-6), so the sum does not depend on
+    row order or partitioning."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(LINE)).cast("double")
+    return F.sum(c.cast(LINE))
+
+
+def money_sum(col: Column | str) -> Column:
+    """``money_sum_dec`` as the stored DOUBLE."""
+    return money_sum_dec(col).cast("double")

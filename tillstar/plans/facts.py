@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import date_key
-from tillstar.functions.money import LINE, as_money, discounted_dec, line_total_dec
+from tillstar.functions.money import as_money, discounted_dec, line_total_dec, money_sum_dec
 from tillstar.operators.joins import bounded_broadcast
 
 
@@ -58,7 +58,7 @@ def sales_by_product(fact: DataFrame) -> DataFrame:
     """(product_key, amount, revenue_dec) over facts with a product; exact revenue sum."""
     return (fact.where(F.col("product_key").isNotNull())
             .groupBy("product_key")
-            .agg(F.sum("amount").alias("amount"), F.sum(F.col("fixed_total").cast(LINE)).alias("revenue_dec")))
+            .agg(F.sum("amount").alias("amount"), money_sum_dec("fixed_total").alias("revenue_dec")))
 
 
 def _products_by_id(products: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def product_performance_as_written(products: DataFrame, fact: DataFrame) -> Data
     subqueries over the same aggregate are merged by the optimizer), not as a product x fact
     nested-loop join."""
     tot = (fact.where(F.col("product_key").isNotNull())
-           .agg(F.sum("amount").alias("amount"), F.sum(F.col("fixed_total").cast(LINE)).alias("revenue_dec")))
+           .agg(F.sum("amount").alias("amount"), money_sum_dec("fixed_total").alias("revenue_dec")))
     p = _products_by_id(products)
     return p.select(F.col("id").alias("product_key"), "name",
                     (tot.select("amount").scalar() * F.col("_rows")).cast("double").alias("count_of_sales"),

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.money import LINE
+from tillstar.functions.money import money_sum_dec
 from tillstar.operators.joins import bounded_broadcast
 
 # dim_date has one row per calendar day: at most 366 rows per year of the DATE range
@@ -29,7 +29,7 @@ from tillstar.operators.joins import bounded_broadcast
 
 def _per_day(fact: DataFrame, *keys: str) -> DataFrame:
     return (fact.groupBy("date_key", *keys)
-            .agg(F.sum("amount").alias("amount"), F.sum(F.col("fixed_total").cast(LINE)).alias("revenue_dec")))
+            .agg(F.sum("amount").alias("amount"), money_sum_dec("fixed_total").alias("revenue_dec")))
 
 
 def _days(dim_date: DataFrame) -> DataFrame:

@@ -65,10 +65,6 @@ def with_read_position(df: DataFrame, paths: Sequence[str], in_row: Column | Non
               .withColumn("_in_row", in_row if in_row is not None else F.lit(0)))
 
 
-def drop_read_position(df: DataFrame) -> DataFrame:
-    return df.drop(*READ_ORDER)
-
-
 # ---------------------------------------------------------------- S2 / S5: CSV
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
              index_column: bool = True, header: bool = True, positions: bool = False) -> DataFrame:

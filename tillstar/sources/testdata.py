@@ -194,11 +194,6 @@ RAW_CTE_ORDER = ("order_item_versions", "order_items", "coupons", "orders", "pro
                  "suppliers", "customer", "login_attemps")
 
 
-def raw_with_clause(needed: tuple[str, ...] = RAW_CTE_ORDER) -> str:
-    """``WITH raw_x AS (...), ...`` for the raw tables (all of them: DuckDB drops unused CTEs)."""
-    return "WITH " + ",\n".join(f"raw_{k} AS ({RAW_SQL[k]})" for k in RAW_CTE_ORDER)
-
-
 def write_source_files(spark: SparkSession, sf_dir: str, root: str) -> list[SourceSpec]:
     """Lay the raw sources out as the ingest job finds them, derived from one test scale:
     customers as 10 CSV files, login attempts as 10 JSON-lines files, coupons as column-oriented
