@@ -97,3 +97,17 @@ def test_upsert_partitions_touches_only_source_partitions(spark, scratch):
     got = {r.order_key: (r.customers_key, r.status) for r in spark.table("t_up.o").collect()}
     assert len(got) == 41 and spark.table("t_up.o").count() == 41
     assert got[5] == (7, "paid") and got[41] == (9, "new") and got[15] == (7, "new")
+
+
+def test_conform_enforces_declared_constraints(spark):
+    ok = spark.createDataFrame([(1, "A B", "A", "B", "F", "x", "00123")],
+                               "customers_key bigint, full_name string, first_name string, last_name string, "
+                               "gender string, address string, zip_code string")
+    assert load.conform(ok, "dimensional.dim_customers").count() == 1
+    too_long = ok.withColumn("gender", F.lit("MF"))
+    with pytest.raises(Exception, match="VARCHAR"):
+        load.conform(too_long, "dimensional.dim_customers").collect()
+    assert load.conform(too_long, "dimensional.dim_customers", enforce=False).count() == 1
+    null_key = ok.withColumn("customers_key", F.lit(None).cast("bigint"))
+    with pytest.raises(Exception, match="NOT NULL"):
+        load.conform(null_key, "dimensional.dim_customers").collect()
