@@ -192,6 +192,26 @@ def scan_parquet(spark, sf_dir):
     return files.read_parquet(spark, path, schemas.RAW["orders"])
 
 
+def stream_ingest_logins(spark, sf_dir):
+    """Streaming ingest (Structured Streaming, foreachBatch keep-last + upsert): login attempts
+    land in two batches, first a stale version of every attempt (success flag inverted), then
+    the current one; after both runs the table holds the current rows."""
+    from tillstar.streaming.ingest import start_ingest
+
+    root = new_scratch_dir(spark, "stream-logins")
+    logins = SourceTables(spark, sf_dir).login_attemps
+    db = _database(spark, "stream")
+    table = f"{db}.login_attemps"
+    for i, batch in enumerate((logins.withColumn("login_successful", ~F.col("login_successful")), logins)):
+        files.write_json_records(batch, f"{root}/landing/batch={i}", num_files=4)
+        q = start_ingest(spark, "login_attemps", "json_records", f"{root}/landing/*", table, f"{root}/checkpoint")
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(f"stream failed: {q.exception()}")
+    spark.catalog.refreshTable(table)      # the micro-batches swapped it in the stream's session
+    return spark.table(table)
+
+
 # ----------------------------------------------------------------- loading
 def _database(spark: SparkSession, label: str) -> str:
     path = new_scratch_dir(spark, label)
@@ -347,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_json_columns_logins": scan_json_columns_logins,
     "scan_json_records": scan_json_records,
     "scan_parquet": scan_parquet,
+    "stream_ingest_logins": stream_ingest_logins,
     "load_replace": load_replace,
     "load_append": load_append,
     "load_overwrite_partitions": load_overwrite_partitions,
