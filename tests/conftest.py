@@ -12,7 +12,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4, app="tillstar-tests")
+    import tempfile
+    # default databases (the CLI test) live in a fresh folder, never in the working directory
+    warehouse_dir = tempfile.mkdtemp(prefix="tillstar-test-warehouse-", dir="/tmp")
+    s = build_session("local[4]", shuffle_partitions=4, app="tillstar-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse_dir})
     yield s
 
 
