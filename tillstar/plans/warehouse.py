@@ -23,7 +23,8 @@ from tillstar.operators.clean import clean
 from tillstar.plans import dims, erd, facts, marts
 from tillstar.sources.spec import SourceSpec, read_source
 
-# Columns NOT updated on conflict; every other non-key column is.
+# The columns each upsert does NOT update on conflict (as the warehouse's
+# ON CONFLICT DO UPDATE lists leave them out); every other non-key column is updated.
 KEEP_ON_CONFLICT = {
     "dim_login_attempts": ("customer_key",),
     "dim_products": ("suppliers_key",),

@@ -22,6 +22,9 @@ def _s(columns: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t.upper()]) for n, t in pairs])
 
 
+# The raw tables' names and columns (the source system's spelling, "login_attemps"
+# included), and below the model tables' names, columns, keys, NOT NULL columns and VARCHAR lengths
+# as the warehouse DDL declares them.
 RAW = {
     "coupons": _s("id BIGINT, discount_percent DOUBLE"),
     "customer": _s("id BIGINT, first_name STRING, last_name STRING, gender STRING, address STRING, zip_code STRING"),
