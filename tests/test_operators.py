@@ -111,3 +111,23 @@ def test_conform_enforces_declared_constraints(spark):
     null_key = ok.withColumn("customers_key", F.lit(None).cast("bigint"))
     with pytest.raises(Exception, match="NOT NULL"):
         load.conform(null_key, "dimensional.dim_customers").collect()
+
+
+def test_upsert_table_recovers_interrupted_swap(spark, scratch, monkeypatch):
+    load.create_layer(spark, "t_rec", scratch)
+    load.replace(_orders(spark, [(1, 7, "new"), (2, 5, "old")]), "t_rec.o")
+    src = _orders(spark, [(1, 8, "paid")])
+
+    def die_after_drop(spark_, staging, table):
+        spark_.sql(f"DROP TABLE {table}")
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(load, "swap_in", die_after_drop)
+    with pytest.raises(RuntimeError):
+        load.upsert_table(spark, "t_rec.o", src, ["order_key"], ["status"])
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists("t_rec.o")
+    # the re-run finishes the swap first, then applies its batch
+    load.upsert_table(spark, "t_rec.o", _orders(spark, [(3, 9, "new")]), ["order_key"], ["status"])
+    got = sorted(map(tuple, spark.table("t_rec.o").collect()))
+    assert got == [(1, 7, "paid"), (2, 5, "old"), (3, 9, "new")]
+    assert not [t for t in spark.catalog.listTables("t_rec") if "staging" in t.name]

@@ -12,6 +12,7 @@ Tables live in databases created at a location below the shared scratch or wareh
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -105,16 +106,40 @@ def swap_in(spark: SparkSession, staging: str, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def _stagings(spark: SparkSession, table: str) -> list[str]:
+    """Staging copies of ``table`` left by earlier runs, oldest first (names carry the time)."""
+    db, name = table.rsplit(".", 1) if "." in table else ("default", table)
+    prefix = f"{name}__staging_"
+    return [f"{db}.{t.name}" for t in sorted(spark.catalog.listTables(db), key=lambda t: t.name)
+            if t.name.startswith(prefix)]
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or clean up an interrupted swap before a new write.
+
+    A staging table is registered only once fully written. If the run died after dropping the
+    table and before renaming the staging copy, the newest staging copy becomes the table;
+    staging copies of a run that died earlier, while the table is intact, are dropped."""
+    stagings = _stagings(spark, table)
+    if stagings and not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {stagings[-1]} RENAME TO {table}")
+        spark.catalog.refreshTable(table)
+        stagings = stagings[:-1]
+    for st in stagings:
+        spark.sql(f"DROP TABLE IF EXISTS {st}")
+
+
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str]) -> None:
-    """K3 against a stored table: merge, write to staging, swap."""
+    """K3 against a stored table: merge, write to staging, swap. Re-runnable after a failure at
+    any point (see ``recover``)."""
+    recover(spark, table)
     exists = spark.catalog.tableExists(table)
     target = spark.table(table) if exists else spark.createDataFrame([], source.schema)
     merged = upsert(target, source, keys, update_cols)
-    db, name = table.rsplit(".", 1) if "." in table else ("default", table)
-    staging = f"{db}.{name}__staging_{uuid.uuid4().hex[:8]}"
     if not exists:
         return replace(merged, table)
+    staging = f"{table}__staging_{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
     replace(merged, staging)
     swap_in(spark, staging, table)
 
