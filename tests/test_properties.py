@@ -44,3 +44,25 @@ def test_upsert_matches_dict_merge(spark, target, source):
         expected[k] = (target[k][0], b) if k in target else (a, b)       # only "b" is updated on conflict
     got = {r.k: (r.a, r.b) for r in upsert(t, s, ["k"], ["b"]).collect()}
     assert got == expected
+
+
+doc_st = st.dictionaries(st.integers(0, 500).map(str),
+                         st.tuples(st.one_of(st.none(), st.integers(-5, 5)), st.one_of(st.none(), st.floats(0, 100))),
+                         min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(docs=st.lists(doc_st, min_size=1, max_size=3))
+def test_column_json_matches_python(spark, tmp_path_factory, docs):
+    import json
+    d = tmp_path_factory.mktemp("cj")
+    p = os.path.join(d, "docs.json")
+    expected = []
+    with open(p, "w") as f:
+        for doc in docs:
+            ids = {k: v[0] for k, v in doc.items() if v[0] is not None}
+            pct = {k: v[1] for k, v in doc.items() if v[1] is not None}
+            f.write(json.dumps({"id": ids, "discount_percent": pct}) + "\n")
+            expected += [(ids.get(k), pct.get(k)) for k in set(ids) | set(pct)]
+    got = [tuple(r) for r in files.read_json_columns(spark, [p], schemas.RAW["coupons"]).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
