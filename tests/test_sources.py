@@ -94,3 +94,15 @@ def test_avro_reports_missing_module(spark, scratch):
     import pytest
     with pytest.raises(Exception):
         files.read_avro(spark, [scratch + "/nothing.avro"], schemas.RAW["order_items"]).collect()
+
+
+def test_json_records_from_pandas_with_dates(spark, scratch):
+    import pandas as pd
+    d = scratch.replace("file:", "")
+    pdf = pd.DataFrame({"id": [1, 2], "customer_id": [5, 6], "login_successful": [True, False],
+                        "attempted_at": pd.to_datetime(["2024-01-01 08:30:00.250", "2024-01-02 00:00:00.000"])})
+    p = os.path.join(d, "logins.jsonl")
+    pdf.to_json(p, orient="records", lines=True)          # dates as epoch milliseconds
+    rows = files.read_json_records(spark, [p], schemas.RAW["login_attemps"], positions=True).orderBy("id").collect()
+    assert [str(r.attempted_at) for r in rows] == ["2024-01-01 08:30:00.250000", "2024-01-02 00:00:00"]
+    assert "_file_ordinal" in rows[0].asDict()

@@ -92,9 +92,14 @@ def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T
                       positions: bool = False, multiline: bool = False) -> DataFrame:
     """JSON with one object per row (``orient='records'`` / JSON lines)."""
     paths = _as_list(paths)
-    df = (spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multiline)
-          .option("timestampNTZFormat", NTZ_FORMAT).json(paths))
-    return with_read_position(df, paths) if positions else df
+    # timestamps arrive as text (Spark, ISO) or as epoch milliseconds (pandas' default): read as text
+    ts = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+    text_schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in ts else f for f in schema.fields])
+    df = spark.read.schema(text_schema).option("mode", "FAILFAST").option("multiLine", multiline).json(paths)
+    if positions:
+        df = with_read_position(df, paths)
+    return df.select(*[_timestamp_text(F.col(c), schema[c].dataType).alias(c) if c in ts else F.col(c)
+                       for c in df.columns])
 
 
 def write_json_records(df: DataFrame, path: str, num_files: int) -> None:

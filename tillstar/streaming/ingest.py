@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar.operators import load
 from tillstar.operators.clean import RULES, clean
 from tillstar.schemas import RAW
-from tillstar.sources.files import NTZ_FORMAT, with_read_position
+from tillstar.sources.files import _timestamp_text, with_read_position
 
 STREAM_FORMATS = ("csv", "json_records", "parquet")
 
@@ -26,21 +26,29 @@ STREAM_FORMATS = ("csv", "json_records", "parquet")
 def read_stream(spark: SparkSession, name: str, fmt: str, folder: str, max_files_per_trigger: int | None = None
                 ) -> DataFrame:
     """Streaming rows of source ``name`` with their file metadata in ``_meta``."""
+    from pyspark.sql import types as T
+
     schema = RAW[name]
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    cols = [F.col(c) for c in schema.fieldNames()]
     if fmt == "csv":
-        from pyspark.sql import types as T
         full = T.StructType([T.StructField("_index", T.LongType())] + list(schema.fields))
-        df = r.schema(full).option("header", True).option("mode", "FAILFAST").csv(folder).drop("_index")
+        raw = r.schema(full).option("header", True).option("mode", "FAILFAST").csv(folder)
     elif fmt == "json_records":
-        df = r.schema(schema).option("timestampNTZFormat", NTZ_FORMAT).option("mode", "FAILFAST").json(folder)
+        # timestamps as ISO text or epoch milliseconds, as the batch reader accepts them
+        ts = {f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))}
+        text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in ts else f for f in schema.fields])
+        raw = r.schema(text).option("mode", "FAILFAST").json(folder)
+        cols = [_timestamp_text(F.col(c), schema[c].dataType).alias(c) if c in ts else F.col(c)
+                for c in schema.fieldNames()]
     elif fmt == "parquet":
-        df = r.schema(schema).parquet(folder)
+        raw = r.schema(schema).parquet(folder)
     else:
         raise ValueError(f"streaming format must be one of {STREAM_FORMATS}")
-    return df.select("*", F.col("_metadata").alias("_meta"))
+    # the file metadata is taken in the projection right on the file source
+    return raw.select(*cols, F.col("_metadata").alias("_meta"))
 
 
 def merge_batch(name: str, table: str):
