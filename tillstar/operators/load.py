@@ -167,28 +167,34 @@ MAX_PRUNE_VALUES = 20_000
 
 
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
-                      update_cols: Sequence[str], partition_by: Sequence[str]) -> None:
+                      update_cols: Sequence[str], partition_by: Sequence[str], prune: bool = True) -> None:
     """K3 for a large table partitioned by columns that are a function of the key (they never
-    change for a key, e.g. a key range, or the month of a date key).
-
-    The batch is checkpointed once (it is read twice). Its distinct partition values, at most one
-    per partition of the table, become a static partition filter on the target, so only the
-    touched partitions are read (``PartitionFilters`` at the scan), merged, and rewritten with
-    dynamic partition overwrite. New files are staged by the commit protocol and moved in only
-    when every task has finished."""
+    change for a key, e.g. a key range, or the month of a date key). Partitions are replaced
+    with dynamic partition overwrite: new files are staged by the commit protocol and moved in
+    only when every task has finished, and a re-run after a failure gives the same table
+    (applying a batch twice equals applying it once).
+
+    ``prune`` (incremental batches): the batch is checkpointed once (it is read twice). Its
+    distinct partition values, at most one per partition of the table, become a static partition
+    filter on the target, so only the touched partitions are read (``PartitionFilters`` at the
+    scan), merged and rewritten.
+    Without ``prune`` (a full rebuild, where the batch touches every partition): the whole
+    target is merged with the batch, computed once, and every partition is rewritten."""
     partition_by = list(partition_by)
     if not spark.catalog.tableExists(table):
         merged = upsert(spark.createDataFrame([], source.schema), source, keys, update_cols)
         return replace(merged, table, partition_by)
-    batch = source.checkpoint()
-    touched = batch.select(*partition_by).distinct()
-    values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
     target = spark.table(table)
-    if len(values) > MAX_PRUNE_VALUES:
-        target = target.join(touched, partition_by, "left_semi")
-    elif not values:
-        return
-    else:
-        target = target.where(_partition_filter(values, partition_by))
+    batch = source
+    if prune:
+        batch = source.checkpoint()
+        touched = batch.select(*partition_by).distinct()
+        values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
+        if not values:
+            return
+        if len(values) > MAX_PRUNE_VALUES:
+            target = target.join(touched, partition_by, "left_semi")
+        else:
+            target = target.where(_partition_filter(values, partition_by))
     merged = upsert(target, batch, keys, update_cols)
     overwrite_partitions(merged, table, partition_by)
