@@ -65,15 +65,15 @@ def _year_month(df: DataFrame) -> DataFrame:
 
 
 def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_db: str = schemas.P,
-               locations: dict | None = None, marts_mode: str = "overwrite_partitions",
-               incremental: bool = False) -> None:
+               locations: dict | None = None, marts_mode: str = "overwrite_partitions") -> None:
     """Dimensions, facts and marts of the star model from the raw tables.
 
+    The raw tables hold the full history (the ingest replaces them), as the warehouse's model
+    assumes, so every key range is touched: the key-range upserts merge against the whole
+    target once (``prune=False``), without checkpointing the batch.
+
     ``marts_mode``: "overwrite_partitions" (re-run safe, default) or "append" (as the
-    warehouse script, which duplicates rows on a re-run).
-    ``incremental``: the raw tables hold only a new batch (not the full history the batch
-    ingest replaces them with); the key-range upserts then read and rewrite only the
-    partitions the batch touches."""
+    warehouse script, which duplicates rows on a re-run)."""
     locations = locations or {}
     load.create_layer(spark, dim_db, locations.get(dim_db))
     load.create_layer(spark, pres_db, locations.get(pres_db))
@@ -86,7 +86,7 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
         df = load.conform(build(raw), table)
         if name in KEY_RANGED_DIMS:
             load.upsert_partitions(spark, f"{dim_db}.{name}", with_key_range(df, spec.primary_key[0]),
-                                   spec.primary_key, update_columns(table), ["key_range"], prune=incremental)
+                                   spec.primary_key, update_columns(table), ["key_range"], prune=False)
         else:
             load.upsert_table(spark, f"{dim_db}.{name}", df, spec.primary_key, update_columns(table))
     d = {n: spark.table(f"{dim_db}.{n}").drop("key_range") for n in dims.BUILDERS}
@@ -96,7 +96,7 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
     fact = load.conform(facts.fact_sales_orders(raw["order_items"], d["dim_products"], d["dim_orders"],
                                                 d["dim_customers"], d["dim_coupons"]), fact_name)
     load.upsert_partitions(spark, f"{dim_db}.fact_sales_orders", with_key_range(fact, "sale_order_key"),
-                           ["sale_order_key"], update_columns(fact_name), ["key_range"], prune=incremental)
+                           ["sale_order_key"], update_columns(fact_name), ["key_range"], prune=False)
     f = spark.table(f"{dim_db}.fact_sales_orders").drop("key_range")
 
     # performance facts
@@ -124,7 +124,7 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
             load.overwrite_partitions(stored, target, ["year", "month"])
     daily = _year_month(load.conform(marts.revenue_by_day(sales), f"{schemas.P}.daily_order_revenue"))
     load.upsert_partitions(spark, f"{pres_db}.daily_order_revenue", daily, ["date"], ["amount", "revenue"],
-                           ["year", "month"], prune=incremental)
+                           ["year", "month"], prune=False)
 
 
 def build_erd(spark: SparkSession, raw_db: str, erd_db: str = schemas.E, location: str | None = None) -> None:
