@@ -131,3 +131,12 @@ def test_upsert_table_recovers_interrupted_swap(spark, scratch, monkeypatch):
     got = sorted(map(tuple, spark.table("t_rec.o").collect()))
     assert got == [(1, 7, "paid"), (2, 5, "old"), (3, 9, "new")]
     assert not [t for t in spark.catalog.listTables("t_rec") if "staging" in t.name]
+
+
+def test_enforce_foreign_keys(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "id bigint")
+    ok = spark.createDataFrame([(1,), (None,)], "pid bigint")
+    quality.enforce_foreign_keys([("ok.pid", ok, "pid", parent, "id")])
+    orphan = spark.createDataFrame([(1,), (3,), (3,)], "pid bigint")
+    with pytest.raises(ValueError, match="orphan.pid: 2 rows / 1 keys"):
+        quality.enforce_foreign_keys([("ok.pid", ok, "pid", parent, "id"), ("orphan.pid", orphan, "pid", parent, "id")])

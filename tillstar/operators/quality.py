@@ -67,6 +67,15 @@ def foreign_key_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, st
                     F.coalesce(F.col("orphan_rows"), F.lit(0)).cast("bigint").alias("orphan_rows")))
 
 
+def enforce_foreign_keys(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> None:
+    """Fail when any foreign key has orphans, as a declared FOREIGN KEY rejects the statement.
+    Runs ``foreign_key_report`` (one row per constraint comes back to the driver)."""
+    bad = [r for r in foreign_key_report(checks).collect() if r.orphan_rows]
+    if bad:
+        detail = ", ".join(f"{r.constraint_name}: {r.orphan_rows} rows / {r.orphan_keys} keys" for r in bad)
+        raise ValueError(f"foreign key violation: {detail}")
+
+
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows with a NULL in any of ``cols``."""
     return df.where(_any_null(cols))

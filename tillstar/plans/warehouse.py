@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar import schemas
-from tillstar.operators import load
+from tillstar.operators import load, quality
 from tillstar.operators.clean import clean
 from tillstar.plans import dims, erd, facts, marts
 from tillstar.sources.spec import SourceSpec, read_source
@@ -65,7 +65,8 @@ def _year_month(df: DataFrame) -> DataFrame:
 
 
 def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_db: str = schemas.P,
-               locations: dict | None = None, marts_mode: str = "overwrite_partitions") -> None:
+               locations: dict | None = None, marts_mode: str = "overwrite_partitions",
+               check_foreign_keys: bool = True) -> None:
     """Dimensions, facts and marts of the star model from the raw tables.
 
     The raw tables hold the full history (the ingest replaces them), as the warehouse's model
@@ -73,7 +74,9 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
     target once (``prune=False``), without checkpointing the batch.
 
     ``marts_mode``: "overwrite_partitions" (re-run safe, default) or "append" (as the
-    warehouse script, which duplicates rows on a re-run)."""
+    warehouse script, which duplicates rows on a re-run).
+    ``check_foreign_keys``: fail, before any fact is written, when a dimension's declared foreign
+    key has orphans (the warehouse's DDL rejects such an insert)."""
     locations = locations or {}
     load.create_layer(spark, dim_db, locations.get(dim_db))
     load.create_layer(spark, pres_db, locations.get(pres_db))
@@ -90,6 +93,13 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
         else:
             load.upsert_table(spark, f"{dim_db}.{name}", df, spec.primary_key, update_columns(table))
     d = {n: spark.table(f"{dim_db}.{n}").drop("key_range") for n in dims.BUILDERS}
+    if check_foreign_keys:
+        # the dimensions' declared FOREIGN KEYs; the fact's hold by construction (each of its keys
+        # comes from a join with the parent dimension)
+        quality.enforce_foreign_keys([
+            (f"{name}.{col}", d[name], col, d[parent.split(".", 1)[1]], pcol)
+            for name in dims.BUILDERS
+            for col, parent, pcol in schemas.SPECS[f"{schemas.D}.{name}"].foreign_keys])
 
     # sales fact: upsert restricted to the key ranges of this batch
     fact_name = f"{schemas.D}.fact_sales_orders"
