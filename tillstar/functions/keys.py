@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.session import reliable_checkpoint
+
 # A distinct set up to this many values is ranked by one window over the set and broadcast.
 SMALL_DISTINCT = 100_000
 
@@ -27,7 +29,7 @@ def dense_rank_ids(df: DataFrame, col: str, id_col: str, num_partitions: int | N
         return F.broadcast(distinct.select(col, F.dense_rank().over(Window.orderBy(col)).cast("bigint").alias(id_col)))
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = distinct.repartitionByRange(n, col).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ranged = reliable_checkpoint(distinct.repartitionByRange(n, col).withColumn("_part", F.spark_partition_id()))
     local = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_part").orderBy(col)))
     # one row per range partition: bounded by n, never by the data
     offsets = (ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

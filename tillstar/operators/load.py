@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.upsert import upsert
 from tillstar.schemas import SPECS
+from tillstar.session import reliable_checkpoint
 
 
 def create_layer(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -187,7 +188,7 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
     target = spark.table(table)
     batch = source
     if prune:
-        batch = source.checkpoint()
+        batch = reliable_checkpoint(source)
         touched = batch.select(*partition_by).distinct()
         values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
         if not values:

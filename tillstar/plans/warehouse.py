@@ -21,6 +21,7 @@ from tillstar import schemas
 from tillstar.operators import load, quality
 from tillstar.operators.clean import clean
 from tillstar.plans import dims, erd, facts, marts
+from tillstar.session import reliable_checkpoint
 from tillstar.sources.spec import SourceSpec, read_source
 
 # The columns each upsert does NOT update on conflict (as the warehouse's
@@ -118,7 +119,7 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
         load.upsert_table(spark, f"{dim_db}.{name}", load.conform(df, table), [key], update_columns(table))
 
     # marts: one shared (day, product) base, cut from its lineage by a reliable checkpoint
-    sales = marts.daily_product_sales(f, d["dim_date"], d["dim_products"]).checkpoint()
+    sales = reliable_checkpoint(marts.daily_product_sales(f, d["dim_date"], d["dim_products"]))
     per = {
         "daily_order_revenue_per_product": marts.revenue_by_day_product(sales, d["dim_suppliers"],
                                                                         d["dim_product_categories"]),

@@ -68,3 +68,10 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (set from the session first):
+    materialised once, survives executor loss, and cuts the lineage. Never ``localCheckpoint``."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
