@@ -58,3 +58,13 @@ def test_rerun_is_idempotent(spark, built):
     warehouse.build_star(spark, "wh_raw", "wh_dim", "wh_pres", locs)
     for t, rows in before.items():
         assert _rows(spark.table(t)) == rows, t
+
+
+def test_quality_reports(spark, built, scratch):
+    warehouse.quality_reports(spark, "wh_dim", "wh_pres", "wh_quality", scratch + "/quality")
+    pk = spark.table("wh_quality.primary_keys").collect()
+    assert len(pk) == 12 and all(r.bad_keys == 0 for r in pk)
+    fk = spark.table("wh_quality.foreign_keys").collect()
+    assert len(fk) == 11 and all(r.orphan_rows == 0 for r in fk)      # the 11 declared FOREIGN KEYs
+    assert all(r.n_null == 0 for r in spark.table("wh_quality.not_null").collect())
+    assert all(r.n_too_long == 0 for r in spark.table("wh_quality.lengths").collect())

@@ -4,6 +4,7 @@
   python -m tillstar ingest --sources sources.json --raw-db raw
   python -m tillstar star   --raw-db raw [--dim-db dimensional] [--pres-db presentation] [--append-marts]
   python -m tillstar dbo    --raw-db raw [--dbo-db dbo]
+  python -m tillstar quality [--dim-db dimensional] [--pres-db presentation] [--quality-db quality]
   python -m tillstar stream --name login_attemps --format json_records --folder IN --table raw.login_attemps
                             --checkpoint CKPT [--continuous]
 
@@ -44,6 +45,10 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("dbo")
     c.add_argument("--raw-db", required=True)
     c.add_argument("--dbo-db", default=schemas.E)
+    q = sub.add_parser("quality")
+    q.add_argument("--dim-db", default=schemas.D)
+    q.add_argument("--pres-db", default=schemas.P)
+    q.add_argument("--quality-db", default="quality")
     d = sub.add_parser("stream")
     for k in ("--name", "--format", "--folder", "--table", "--checkpoint"):
         d.add_argument(k, required=True)
@@ -68,6 +73,8 @@ def main(argv: list[str] | None = None) -> None:
                              marts_mode="append" if args.append_marts else "overwrite_partitions")
     elif args.cmd == "dbo":
         warehouse.build_erd(spark, args.raw_db, args.dbo_db)
+    elif args.cmd == "quality":
+        warehouse.quality_reports(spark, args.dim_db, args.pres_db, args.quality_db)
     else:
         from tillstar.streaming.ingest import start_ingest
         q = start_ingest(spark, args.name, args.format, args.folder, args.table, args.checkpoint,

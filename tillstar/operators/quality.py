@@ -125,3 +125,14 @@ def decimal_range_report(tables: Sequence[tuple[str, DataFrame, dict[str, tuple[
                                 "n_out_of_range")
              for t, df, dec in tables if dec]
     return reduce(DataFrame.unionByName, parts)
+
+
+def primary_key_report(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """C1 report: (table_name, bad_keys, bad_rows): keys occurring more than once or with NULL."""
+    parts = []
+    for t, df, keys in tables:
+        v = check_primary_key(df.select(*keys), keys)
+        parts.append(v.agg(F.count(F.lit(1)).alias("bad_keys"),
+                           F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("bad_rows"))
+                     .select(F.lit(t).alias("table_name"), "bad_keys", "bad_rows"))
+    return reduce(DataFrame.unionByName, parts)

@@ -162,3 +162,31 @@ def build_erd(spark: SparkSession, raw_db: str, erd_db: str = schemas.E, locatio
     load.replace(erd.category_revenue(e["dim_product_categories"], e["dim_product"], e["dim_order_items"]),
                  f"{erd_db}.fact_categories_performance")
     load.replace(erd.customer_activity(e["dim_login_attempts"]), f"{erd_db}.fact_customer_activity")
+
+
+def quality_reports(spark: SparkSession, dim_db: str = schemas.D, pres_db: str = schemas.P,
+                    quality_db: str = "quality", location: str | None = None) -> None:
+    """C1-C4 over the stored star model, written as tables of ``quality_db``: primary_keys,
+    foreign_keys, not_null, lengths (one row per checked table / constraint / column)."""
+    load.create_layer(spark, quality_db, location)
+
+    def stored(spec_name: str) -> DataFrame:
+        layer, name = spec_name.split(".", 1)
+        db = dim_db if layer == schemas.D else pres_db
+        # the declared columns only (storage adds key_range, or year/month for the marts)
+        return spark.table(f"{db}.{name}").select(*schemas.SPECS[spec_name].schema.fieldNames())
+
+    specs = [s for s in schemas.STAR if spark.catalog.tableExists(
+        f"{dim_db if s.name.startswith(schemas.D) else pres_db}.{s.name.split('.', 1)[1]}")]
+    tables = {s.name: stored(s.name) for s in specs}
+    reports = {
+        "primary_keys": quality.primary_key_report([(s.name, tables[s.name], s.primary_key)
+                                                    for s in specs if s.primary_key]),
+        "foreign_keys": quality.foreign_key_report([
+            (f"{s.name}.{col}", tables[s.name], col, tables[parent], pcol)
+            for s in specs for col, parent, pcol in s.foreign_keys if parent in tables]),
+        "not_null": quality.not_null_report([(s.name, tables[s.name], s.not_null) for s in specs if s.not_null]),
+        "lengths": quality.length_report([(s.name, tables[s.name], s.max_length) for s in specs if s.max_length]),
+    }
+    for name, df in reports.items():
+        load.replace(df, f"{quality_db}.{name}")
