@@ -135,18 +135,18 @@ def rank_sources(sources: DataFrame) -> DataFrame:
     return inner.join(shift, "head").withColumn("rank", F.col("shift") + F.col("n")).drop("head", "n", "shift")
 
 
-def mix(docs: DataFrame, seed: int = 10, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(row, doc_id, source, size, source_size, target, copies) of every row; ``copies`` is 0, 1 or 2.
+def mix(docs: DataFrame, seed: int = 10, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_docs: int = BLOCK_DOCS,
+        identity: tuple[str, ...] = ("doc_id", "source", "text")) -> DataFrame:
+    """(row, order, doc_id, source, size, source_size, target, copies) of every row; ``copies`` is 0, 1 or 2.
 
-    ``row`` is a hash of (doc_id, source, text): rows alike in all three share a decision by order only,
-    each has its own. Null texts have size 0; a null source is a source of its own, the last. Sources
+    ``order`` is a hash of the ``identity`` columns; rows alike in them are each decided by themselves. Null texts have size 0; a null source is a source of its own, the last. Sources
     without words have target 0 and no copies. Other columns are not read. No rows give no rows.
     """
     spark = docs.sparkSession
     folder = run_folder(spark, "mixing")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"),
-                       F.xxhash64("doc_id", "source", "text").alias("order"), F.monotonically_increasing_id().alias("row"))
+                       F.xxhash64(*identity).alias("order"), F.monotonically_increasing_id().alias("row"))
     rows = cut(rows, folder, "sizes")
     goals = cut(targets(rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("source_size")), weights, share), folder, "targets")
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -170,10 +170,22 @@ def mix(docs: DataFrame, seed: int = 10, weights: tuple[int, ...] = WEIGHTS, sha
     picks = decided[0]
     for more in decided[1:]:
         picks = picks.unionAll(more)
-    out = rows.join(goals, same).select("row", "doc_id", rows["source"], "size", "source_size", "target", "whole")
+    out = rows.join(goals, same).select("row", "order", "doc_id", rows["source"], "size", "source_size", "target", "whole")
     return out.join(picks, "row", "left").withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.coalesce("taken_part", F.lit(0))).otherwise(0)).drop("whole", "taken_part")
 
 
+def repeat(docs: DataFrame) -> DataFrame:
+    """Pipeline stage: each row as often as the mix takes it, all columns as they are.
+
+    Rows alike in all columns are one text that is taken as often as they are together. Without a row
+    number to join on, rows meet their copies by a hash of all columns.
+    """
+    cols = tuple(docs.columns)
+    copies = mix(docs, identity=cols).groupBy(F.col("order").alias("__order")).agg(F.sum("copies").cast("int").alias("__copies")).where("__copies > 0")
+    keyed = docs.withColumn("__order", F.xxhash64(*cols)).join(copies, "__order").dropDuplicates(["__order"])
+    return keyed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*cols)
+
+
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
     m = mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from tillstar.llm.ann import op5_nearest_neighbours
 from tillstar.llm.embed_dedup import op4_embedding_near_dedup
 from tillstar.llm.jaccard import op8_jaccard_join
+from tillstar.llm.lm import op1_lm_scoring
 from tillstar.llm.mixing import op10_mixing
 from tillstar.llm.packing import op3_best_fit_packing
 from tillstar.llm.quality import op2_quality_classifier
@@ -16,6 +17,6 @@ from tillstar.llm.token_counts import op9_token_counts
 from tillstar.llm.toxicity import op6_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_classifier, op4_embedding_near_dedup, op5_nearest_neighbours, op3_best_fit_packing, op6_toxicity, op7_secret_scans, op8_jaccard_join, op9_token_counts, op10_mixing,
+    op1_lm_scoring, op2_quality_classifier, op4_embedding_near_dedup, op5_nearest_neighbours, op3_best_fit_packing, op6_toxicity, op7_secret_scans, op8_jaccard_join, op9_token_counts, op10_mixing,
 )}
 ORACLE_SQL: dict[str, str] = {}
