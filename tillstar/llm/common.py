@@ -71,14 +71,14 @@ def steps(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.
 
 
 class Memo(dict):
-    """word -> value, made on first use. Emptied when it holds CACHE_ENTRIES words."""
+    """word -> value, made on first use. Emptied when it holds ``most`` words."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int = CACHE_ENTRIES):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, word):
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.most:
             self.clear()
         value = self[word] = self.make(word)
         return value

@@ -42,8 +42,8 @@ def pieces(path: str, capacity: int):
         base = TaskContext.get().partitionId() << 32
         encoder, made = Encoder(path), 0
         for part in steps(batches):
-            rows = []
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+            rows, texts = [], part.column("text").to_pylist()
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 ids = encoder.ids(text) + END
                 view = memoryview(ids)
                 for k, (start, length) in enumerate(cut_pieces(len(ids) // 4, capacity)):

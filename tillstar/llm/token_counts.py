@@ -50,7 +50,8 @@ def encode_counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for part in steps(batches):
-            counts = [len(encoder.ids(t)) // 4 for t in part.column("text").to_pylist()]
+            texts = part.column("text").to_pylist()
+            counts = [len(encoder.ids(t)) // 4 for t in texts]
             yield pa.record_batch([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
     return run
 
