@@ -17,7 +17,8 @@ Join. Rows of one cell meet at the smallest member. In a task, members of one ce
 reduced to that star, so a cell that a third of all texts share sends one row per batch. Star pairs that survive the size
 test and a 1024-bit parity sketch, whose Hamming distance bounds the symmetric difference from below, are
 verified on the whole sets. Members of a cell that end in different components are then paired across
-components only (all but the cell's largest component, with everyone else), which makes the components exact.
+components only (all but the cell's largest component, with everyone else), in blocks inside tasks and by the same
+tests first; the pairs that pass are verified too, which makes the components exact.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ SKETCH_WORDS = 16
 BAND = 1.5
 # Packed rows leave a task about so many cells at a time.
 CHUNK_CELLS = 1 << 20
+# Members of a block where the members of a cell are compared.
+BLOCK = 512
 MISSING = -(1 << 63)
 
 
@@ -271,6 +274,60 @@ def set_rows(n: int):
     return run
 
 
+PAIRS = "bucket int, pairs binary"
+
+
+def likely_pairs(measure: Measure, buckets: int):
+    """Rows of two blocks of one cell: pairs across components that sizes and sketches allow, packed by bucket."""
+    def side(column, k):
+        rows = column[k].values
+        sketch = rows.field("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)  # unsigned, for bitwise_count
+        return (*(rows.field(c).to_numpy() for c in ("member", "component", "n")), sketch)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [np.zeros((0, 4), np.int64)], 0
+
+        def flush():
+            rows = np.unique(np.concatenate(held), axis=0)
+            bucket = (mix64(rows[:, 0].view(np.uint64) + mix64(rows[:, 1].view(np.uint64))) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            first = runs(bucket[order])
+            parts = np.split(rows[order], first[1:]) if len(first) else []
+            return pa.record_batch([pa.array(bucket[order][first], pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["bucket", "pairs"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, cx, nx, sx = side(batch.column("few"), k)
+                y, cy, ny, sy = side(batch.column("everyone"), k)
+                total = nx[:, None] + ny[None]
+                apart = np.bitwise_count(sx[:, None] ^ sy[None]).sum(2, dtype=np.int64)
+                test = cx[:, None] != cy[None]
+                test &= measure.den * np.minimum(nx[:, None], ny[None]) >= measure.num * np.maximum(nx[:, None], ny[None])
+                test &= apart * (measure.den + measure.num) <= (measure.den - measure.num) * total
+                i, j = np.nonzero(test)
+                if len(i):
+                    swap = x[i] > y[j]
+                    held.append(np.stack([np.where(swap, y[j], x[i]), np.where(swap, x[i], y[j]), np.where(swap, ny[j], nx[i]), np.where(swap, nx[i], ny[j])], 1))
+                    count += len(i)
+                    if count > CHUNK_CELLS:
+                        held = [np.unique(np.concatenate(held), axis=0)]
+                        count = len(held[0])
+                        if count > CHUNK_CELLS // 2:
+                            yield flush()
+                            held, count = [np.zeros((0, 4), np.int64)], 0
+        if count:
+            yield flush()
+    return run
+
+
+def distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair of a partition once."""
+    rows = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 4) for batch in batches for x in batch.column("pairs")]
+    if rows:
+        pairs = np.unique(np.concatenate(rows), axis=0)
+        yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in pairs.T], ["a", "b", "na", "nb"])
+
+
 def node_of(docs: DataFrame) -> DataFrame:
     """(node, doc_id, text): a node is a 64-bit hash of the text, so equal texts are one node.
 
@@ -296,14 +353,18 @@ class Join:
         self.members = rows.where("cell is not null").select("cell", "member", "lead")
         self.nodes = cut(self.rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch")), self.folder, "nodes")
 
-    def verify(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that link, after the size and parity tests and on the whole sets."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, na, nb) of the pairs whose sizes and parity sketches allow a link."""
         m = self.measure
         side = lambda s: self.nodes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
-        total = F.col("na") + F.col("nb")
         apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        likely = (m.den * F.least("na", "nb") >= m.num * F.greatest("na", "nb")) & (apart * (m.den + m.num) <= (m.den - m.num) * total)
-        pairs = cut(pairs.join(side("a"), "a").join(side("b"), "b").where(likely).select("a", "b", "na", "nb"), self.folder, f"{name}-pairs")
+        test = (m.den * F.least("na", "nb") >= m.num * F.greatest("na", "nb")) & (apart * (m.den + m.num) <= (m.den - m.num) * (F.col("na") + F.col("nb")))
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(test).select("a", "b", "na", "nb")
+
+    def verify(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that link, on their whole sets."""
+        m = self.measure
+        pairs = cut(pairs, self.folder, f"{name}-pairs")
         if pairs.isEmpty():
             return pairs.select("a", "b")
         wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
@@ -315,13 +376,13 @@ class Join:
         both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
                 .join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a"))
         common = F.size(F.array_intersect("ga", "gb"))
-        return cut(both.where(m.den * common >= m.num * (total - common)).select("a", "b"), self.folder, f"{name}-links")
+        return cut(both.where(m.den * common >= m.num * (F.col("na") + F.col("nb") - common)).select("a", "b"), self.folder, f"{name}-links")
 
     def classes(self) -> DataFrame:
         """(node, component) of every node that links with another text."""
         stars = self.members.where("member != lead").select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()
         stars = cut(stars, self.folder, "stars")
-        links = self.verify(stars, "star")
+        links = self.verify(self.likely(stars), "star")
         found = cut(components(links, f"{self.folder}/first"), self.folder, "first-components")
         rest = self.across(found).join(stars, ["a", "b"], "left_anti")
         more = self.verify(rest, "rest")
@@ -330,20 +391,25 @@ class Join:
         return cut(components(links.unionAll(more), f"{self.folder}/second"), self.folder, "second-components")
 
     def across(self, found: DataFrame) -> DataFrame:
-        """Pairs of members of one cell in different components, each once.
+        """(a, b, na, nb): likely pairs of members of one cell in different components, each once.
 
-        Every such pair has a member outside the cell's largest component; those are joined with all members.
+        Every such pair has a member outside the cell's largest component. Those members meet all members in blocks
+        of bounded size; only pairs that pass the size and parity tests leave a task, packed.
         """
+        n = n_partitions(self.spark)
         everyone = self.members.select("cell", "member").unionAll(self.members.select("cell", F.col("lead").alias("member"))).distinct()
         named = everyone.join(found.withColumnRenamed("node", "member"), "member", "left").withColumn("component", F.coalesce("component", "member"))
         named = cut(named, self.folder, "named")
-        split = named.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("cell")
-        named = cut(named.join(split, "cell", "left_semi"), self.folder, "split-cells")
-        size = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = size.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("m")).select("cell", F.col("m.component").alias("main"))
-        few = named.join(main, "cell").where("component != main").select("cell", F.col("member").alias("x"), F.col("component").alias("cx"))
-        return (few.join(named, "cell").where("cx != component")
-                .select(F.least("x", "member").alias("a"), F.greatest("x", "member").alias("b")).distinct())
+        size = named.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("k"))
+        split = (size.groupBy("cell").agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("k"), F.max(F.struct("k", "component")).alias("m")).where("components > 1")
+                 .select("cell", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"), F.col("m.component").alias("main")))
+        info = self.nodes.select(F.col("node").alias("member"), "n", "sketch")
+        rows = named.join(split, "cell").join(info, "member").withColumn("block", F.pmod(F.xxhash64("member"), "blocks").cast("int"))
+        rows = cut(rows.select("cell", "block", "main", F.struct("member", "component", "n", "sketch").alias("r")), self.folder, "split-cells")
+        everyone = rows.groupBy("cell", "block").agg(F.collect_list("r").alias("everyone"))
+        few = rows.where("r.component != main").groupBy("cell", "block").agg(F.collect_list("r").alias("few"))
+        packed_ = few.select("cell", "few").join(everyone.select("cell", "everyone"), "cell").mapInArrow(likely_pairs(self.measure, n), PAIRS)
+        return packed_.repartition(n, "bucket").mapInArrow(distinct_pairs, "a bigint, b bigint, na bigint, nb bigint")
 
 
 def classes(docs: DataFrame, measure: Measure = Measure()) -> tuple[DataFrame, DataFrame]:
