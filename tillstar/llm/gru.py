@@ -17,7 +17,9 @@ CLASSES = WORDS // CLASS_WORDS
 RARE, START = WORDS, WORDS + 1
 # Steps through which training propagates back; steps that scoring takes at once.
 WINDOW, SCORE_WINDOW = 16, 64
-MOST_LANES, LEAST_LANES = 256, 32
+MOST_LANES, LEAST_LANES = 384, 32
+# Words of a document that training takes in one go.
+SEGMENT = 2048
 # Words of a step of the optimiser at least, and its rate.
 STEP_WORDS = 2048
 RATE = 0.02
@@ -119,9 +121,15 @@ def by_class(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(c, order[cuts[c]:cuts[c + 1]]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """exp(x - top), its sums by row, and top, which is 0 unless the plain exponentials leave their range."""
+    e = np.exp(x)
+    s = e @ np.ones(x.shape[1], np.float32)
+    if np.isfinite(s).all() and s.all():
+        return e, s, 0.0
+    top = x.max(1)
+    e = np.exp(x - top[:, None])
+    return e, e.sum(1), top
 
 
 def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -136,12 +144,12 @@ def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
         ids, doc, h = lanes.ids[window, :live].ravel(), lanes.doc[window, :live].ravel(), states.reshape(-1, HIDDEN)
         real = ids >= 0
         logits = h @ p["c"] + p["cb"]
-        top = logits.max(1)
-        logp = logits[np.arange(len(ids)), np.where(real, ids // CLASS_WORDS, 0)] - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        _, total, top = exp_sum(logits)
+        logp = logits[np.arange(len(ids)), np.where(real, ids // CLASS_WORDS, 0)] - top - np.log(total)
         for c, at in by_class(ids):
             inner = h[at] @ p["w"][c] + p["wb"][c]
-            top = inner.max(1)
-            logp[at] += inner[np.arange(len(at)), ids[at] - c * CLASS_WORDS] - top - np.log(np.exp(inner - top[:, None]).sum(1))
+            _, total, top = exp_sum(inner)
+            logp[at] += inner[np.arange(len(at)), ids[at] - c * CLASS_WORDS] - top - np.log(total)
         out += np.bincount(doc[real], weights=logp[real].astype(np.float64), minlength=len(lengths))
     return out
 
@@ -151,16 +159,17 @@ def gradient(p: dict, g: dict, prev: np.ndarray, ids: np.ndarray, state: np.ndar
     T, B, H = prev.shape[0], prev.shape[1], HIDDEN
     states, last, tape = recur(p, prev, state, True)
     h, flat_ids = states.reshape(-1, H), ids.ravel()
-    real = flat_ids >= 0
-    d = np.exp(log_softmax(h @ p["c"] + p["cb"]))
-    d[np.arange(len(d)), np.where(real, flat_ids // CLASS_WORDS, 0)] -= 1
-    d *= real[:, None]
+    real = (flat_ids >= 0).astype(np.float32)
+    d, total, _ = exp_sum(h @ p["c"] + p["cb"])
+    d *= (real / total)[:, None]
+    d[np.arange(len(d)), np.where(real, flat_ids // CLASS_WORDS, 0)] -= real
     g["c"] += h.T @ d
     g["cb"] += d.sum(0)
     dh = d @ p["c"].T
     for c, at in by_class(flat_ids):
         hc = h[at]
-        d = np.exp(log_softmax(hc @ p["w"][c] + p["wb"][c]))
+        d, total, _ = exp_sum(hc @ p["w"][c] + p["wb"][c])
+        d /= total[:, None]
         d[np.arange(len(at)), flat_ids[at] - c * CLASS_WORDS] -= 1
         g["w"][c] += hc.T @ d
         g["wb"][c] += d.sum(0)
@@ -198,8 +207,12 @@ class Trainer:
         self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
 
     def learn(self, tokens: np.ndarray, lengths: np.ndarray) -> None:
-        """One pass. Windows add up until a step has seen STEP_WORDS words, however few lanes are left."""
-        lanes = deal(tokens, lengths)
+        """One pass. Windows add up until a step has seen STEP_WORDS words, however few lanes are left.
+
+        A document of more than SEGMENT words is learned in segments that start afresh, so that no lane outlasts the others.
+        """
+        whole, rest = np.divmod(lengths, SEGMENT)
+        lanes = deal(tokens, np.concatenate([[SEGMENT] * w + [r] * (r > 0) for w, r in zip(whole.tolist(), rest.tolist(), strict=True)]).astype(np.int64))
         state = np.zeros((lanes.ids.shape[1], HIDDEN), np.float32)
         for a in range(0, len(lanes.ids), WINDOW):
             live = int((lanes.lengths > a).sum())

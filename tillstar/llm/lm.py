@@ -16,6 +16,7 @@ to the row's bucket as sums.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import gru
-from tillstar.llm.common import Memo, cut, hash_memo, held_out, n_partitions, run_folder, runs, steps, table, words_of
+from tillstar.llm.common import Memo, cut, hash_memo, held_out, n_partitions, run_folder, runs, steps, table
 
 FOLDS = 10
 ROUNDS = 3
@@ -66,7 +67,7 @@ def count_words(buckets: int):
             return pa.record_batch([pa.array(bucket), pa.array(k, pa.binary()), pa.array(c, pa.binary())], ["bucket", "keys", "counts"])
 
         for part in steps(batches):
-            words = [w for t in part.column("text").to_pylist() for w in words_of(t)]
+            words = [w for t in part.column("text").cast(pa.binary()).to_pylist() if t for w in t.lower().split()]
             flat = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
             keys, n = np.unique(flat, return_counts=True)
             held += [(keys, n), (np.array([end], np.uint64), np.array([part.num_rows]))]
@@ -115,24 +116,17 @@ class Vocabulary:
         self.rare = n - int(named.sum())
         self.base = np.log10(n + 0.1 * (v + 1))
         self.rare_base = np.log10(self.rare + 0.1 * (v - len(named) + 1))
-        self.by_key = np.argsort(self.keys)
-        self.sorted = self.keys[self.by_key]
 
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """Rank in the head, -1 for other words."""
-        if not len(self.sorted):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == keys, self.by_key[at], -1)
-
-    def memo(self) -> Memo:
+    def memo(self, most: int | None = None) -> Memo:
+        """word -> rank among the head's first ``most`` words, -1 for others."""
         hashed = hash_memo().make
-        return Memo(lambda w: int(self.place(np.array([hashed(w)], np.uint64))[0]))
+        place = {k: i for i, k in enumerate(self.keys[:most].tolist())}
+        return Memo(lambda w: place.get(hashed(w), -1))
 
 
 def ranks(part: pa.RecordBatch, memo: Memo) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(words with an end after each text, their ranks, the texts' lengths)."""
-    texts = [words_of(t) for t in part.column("text").to_pylist()]
+    texts = [t.lower().split() if t else [] for t in part.column("text").cast(pa.binary()).to_pylist()]
     words = [w for t in texts for w in (*t, END)]
     return words, np.fromiter(map(memo.__getitem__, words), np.int32, len(words)), np.array([len(t) + 1 for t in texts], np.int64)
 
@@ -144,7 +138,7 @@ def model_ids(rank: np.ndarray) -> np.ndarray:
 def train_round(vocabulary: Vocabulary, flat: np.ndarray):
     """One row per task: the parameters times the words seen, and those words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, trainer = vocabulary.memo(), gru.Trainer(flat)
+        memo, trainer = vocabulary.memo(gru.WORDS), gru.Trainer(flat)
         ids, lengths, held, seen = [], [], 0, 0
         for part in steps(batches):
             _, rank, n = ranks(part, memo)
@@ -224,9 +218,19 @@ SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base doubl
 
 
 def look_up(row_buckets: int):
-    """Rows sorted by bucket, counts first: per document row and bucket, the sum of log10(count + 0.1) and the known words."""
+    """Rows sorted by bucket, counts first: per document row, the sum of log10(count + 0.1) and the known words.
+
+    What a task has found is summed by row before it goes on, packed by the row's bucket.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, counts = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        found, held = [], 0
+
+        def flush():
+            rows, logs, known = sum_by_key(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            bucket, (a, s, n) = pack_by((rows % row_buckets).astype(np.int32), rows, logs, known)
+            return pa.record_batch([pa.array(bucket), pa.array(a, pa.binary()), pa.array(s, pa.binary()), pa.array(n, pa.binary())], ["bucket", "rows", "logs", "known"])
+
         for batch in batches:
             for r, b in enumerate(batch.column("bucket").to_pylist()):
                 k = np.frombuffer(batch.column("keys")[r].as_buffer(), np.uint64)
@@ -239,9 +243,13 @@ def look_up(row_buckets: int):
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
                     c = np.where(keys[at] == k, counts[at], 0)
-                rows, logs, known = sum_by_key(np.frombuffer(batch.column("rows")[r].as_buffer(), np.int64), np.log10(c + 0.1), (c > 0).astype(np.int64))
-                bucket, (a, s, n) = pack_by((rows % row_buckets).astype(np.int32), rows, logs, known)
-                yield pa.record_batch([pa.array(bucket), pa.array(a, pa.binary()), pa.array(s, pa.binary()), pa.array(n, pa.binary())], ["bucket", "rows", "logs", "known"])
+                found.append((np.frombuffer(batch.column("rows")[r].as_buffer(), np.int64), np.log10(c + 0.1), (c > 0).astype(np.int64)))
+                held += len(k)
+                if held >= POOL_COUNTS:
+                    yield flush()
+                    found, held = [], 0
+        if found:
+            yield flush()
     return run
 
 
@@ -282,7 +290,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, seed: int) -> np
     for k in range(rounds):
         part = learning.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
         ways = part.mapInArrow(train_round(vocabulary, flat), "weight double, flat binary")
-        some = ways.repartition(n_partitions(spark)).mapInArrow(fold, "weight double, flat binary")
+        some = ways.repartition(max(4, math.isqrt(n_partitions(spark)))).mapInArrow(fold, "weight double, flat binary")
         one = some.repartition(1).mapInArrow(fold, "weight double, flat binary").collect()
         if one:
             flat = (np.frombuffer(one[0]["flat"], np.float64) / one[0]["weight"]).astype(np.float32)
@@ -305,7 +313,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD, seed: int = 1
     scored = cut(docs.mapInArrow(score_rows(vocabulary, flat, buckets), SCORED), folder, "scored")
     asked = scored.where("bucket is not null").select("bucket", "keys", F.lit(None).cast("binary").alias("counts"), "rows", F.lit(1).alias("kind"))
     known = counts.select("bucket", "keys", "counts", F.lit(None).cast("binary").alias("rows"), F.lit(0).alias("kind"))
-    met = known.unionAll(asked).repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(look_up(buckets), "bucket int, rows binary, logs binary, known binary")
+    met = known.unionAll(asked).repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(look_up(n), "bucket int, rows binary, logs binary, known binary")
     tails = met.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(sum_rows, "row bigint, tail double, tail_known bigint")
     tail = F.coalesce("tail", F.lit(0.0))
     return (scored.where("row is not null").join(tails, "row", "left")
