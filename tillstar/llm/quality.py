@@ -61,10 +61,10 @@ def votes(text: str | None) -> str:
     ))
 
 
-def em(counts: dict[str, int], rounds: int = 200) -> dict[str, float]:
+def em(counts: dict[str, int], belief: float = BELIEF, rounds: int = 200) -> dict[str, float]:
     """Pattern -> posterior of good. Two classes, votes independent given the class.
 
-    Abstaining says nothing about the class, so only votes enter the likelihood. The start, kept as a prior worth BELIEF times
+    Abstaining says nothing about the class, so only votes enter the likelihood. The start, kept as a prior worth ``belief`` times
     the votes, is that a labeller seldom calls a good document bad and misses many bad ones.
     """
     patterns = sorted(counts)
@@ -82,7 +82,7 @@ def em(counts: dict[str, int], rounds: int = 200) -> dict[str, float]:
         post /= post.sum(1, keepdims=True)
         mass = n[:, None] * post
         new = (mass.sum(0) + 1) / (n.sum() + 2)
-        right = np.einsum("pc,plk->clk", mass, hot) + BELIEF * (new[:, None] * cast[None])[:, :, None] * start + 0.1
+        right = np.einsum("pc,plk->clk", mass, hot) + belief * (new[:, None] * cast[None])[:, :, None] * start + 0.1
         right /= right.sum(2, keepdims=True)
         if np.abs(new - prior).max() < 1e-9:
             break
