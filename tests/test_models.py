@@ -20,8 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    import __spark_entry__ as e
-    assert set(e.queries()) == set(e.oracle_sql())
+    from tillstar.oracle import oracle_sql
+    assert set(QUERIES) == set(oracle_sql())
 
 
 def test_revenue_invariants(spark):

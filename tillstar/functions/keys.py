@@ -7,26 +7,17 @@ from pyspark.sql import functions as F
 
 from tillstar.session import reliable_checkpoint
 
-# A distinct set up to this many values is ranked by one window over the set and broadcast.
-SMALL_DISTINCT = 100_000
 
-
-def dense_rank_ids(df: DataFrame, col: str, id_col: str, num_partitions: int | None = None,
-                   small: int = SMALL_DISTINCT) -> DataFrame:
+def dense_rank_ids(df: DataFrame, col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
     """(col, id_col): 1-based dense rank of every distinct non-null ``col`` value.
 
-    The distinct values are counted first, reading at most ``small + 1`` of them. A set proven
-    small is ranked by one window over that set and marked for broadcast.
-
-    A larger set is never sent through one task. It is range-partitioned once and written with
+    No task sees the whole set. It is range-partitioned once and written with
     a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``), so every later read sees the same
     partition of each value; a recomputed range shuffle may sample other bounds. Values are
     numbered inside each partition and shifted by the number of values in all lower
     partitions; the only single-task step works on one row per partition.
     """
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-    if distinct.limit(small + 1).count() <= small:
-        return F.broadcast(distinct.select(col, F.dense_rank().over(Window.orderBy(col)).cast("bigint").alias(id_col)))
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = reliable_checkpoint(distinct.repartitionByRange(n, col).withColumn("_part", F.spark_partition_id()))

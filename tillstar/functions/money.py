@@ -3,7 +3,7 @@
 The source system keeps prices and totals in DOUBLE and sums doubles, so a sum depends on
 the order rows arrive in. Here every money expression is computed in exact decimals and
 only the stored column is DOUBLE; sums re-read the stored double as an exact decimal.
-Prices are money, i.e. whole cents; percentages may carry two decimals.
+Prices and percentages may carry four decimals; one with more fails the job.
 """
 
 from __future__ import annotations
@@ -12,10 +12,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed decimal shapes (also used, spelled out, by the SQL oracle).
-PRICE = "decimal(12,2)"     # unit price in cents
+PRICE = "decimal(14,4)"     # unit price
 QTY = "decimal(12,0)"       # whole quantity
-PCT = "decimal(5,2)"        # 0.00 .. 100.00 percent kept
-LINE = "decimal(24,6)"      # one line's money value, exact
+PCT = "decimal(7,4)"        # 0.0000 .. 100.0000 percent kept
+LINE = "decimal(28,10)"     # one line's money value, exact
+
+
+def _exact(c: Column, shape: str, what: str) -> Column:
+    """``c`` in the decimal shape; a value with more decimals fails the job, it is never rounded."""
+    d = c.cast(shape)
+    return F.when(d.cast("double") != c.cast("double"), F.raise_error(F.concat(F.lit(f"{what} has too many decimals: "), c.cast("string"))).cast(shape)).otherwise(d)
 
 
 def _cent() -> Column:
@@ -24,12 +30,13 @@ def _cent() -> Column:
 
 def line_total_dec(amount: Column, price: Column) -> Column:
     """amount * price, exact."""
-    return amount.cast(QTY) * price.cast(PRICE)
+    return _exact(amount, QTY, "quantity") * _exact(price, PRICE, "price")
 
 
 def discounted_dec(amount: Column, price: Column, discount_pct: Column) -> Column:
     """total - total * coalesce(discount, 0) / 100, exact (F6 + F7)."""
-    keep = (F.lit(100) - F.coalesce(discount_pct, F.lit(0))).cast(PCT)
+    keep = F.lit(100).cast(PCT) - F.coalesce(_exact(discount_pct, PCT, "discount"), F.lit(0).cast(PCT))
+    keep = keep.cast(PCT)
     return line_total_dec(amount, price) * keep * _cent()
 
 
@@ -39,8 +46,8 @@ def as_money(dec: Column) -> Column:
 
 
 def money_sum_dec(col: Column | str) -> Column:
-    """Exact SUM of a stored money DOUBLE: each value is read back as ``decimal(24,6)`` first
-    (the double holds the exact value to far better than 1e-6), so the sum does not depend on
+    """Exact SUM of a stored money DOUBLE: each value is read back as ``decimal(28,10)`` first
+    (the double holds the exact value to far better than the scale up to about 800,000), so the sum does not depend on
     row order or partitioning."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast(LINE))

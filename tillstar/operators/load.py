@@ -145,28 +145,6 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Seque
     swap_in(spark, staging, table)
 
 
-def _partition_filter(values, partition_by: Sequence[str]):
-    """OR over the touched partition values (``isin`` for one column); NULL partitions included."""
-    if len(partition_by) == 1:
-        col = partition_by[0]
-        vals = [r[col] for r in values]
-        cond = F.col(col).isin([v for v in vals if v is not None])
-        return cond | F.col(col).isNull() if None in vals else cond
-    cond = None
-    for row in values:
-        c = None
-        for col in partition_by:
-            e = F.col(col).isNull() if row[col] is None else (F.col(col) == F.lit(row[col]))
-            c = e if c is None else (c & e)
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
-# Above this many touched partition values the target is filtered by a semi join instead of a
-# static partition filter (the value list is bounded by the table's partition count, not its rows).
-MAX_PRUNE_VALUES = 20_000
-
-
 def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
                       update_cols: Sequence[str], partition_by: Sequence[str], prune: bool = True) -> None:
     """K3 for a large table partitioned by columns that are a function of the key (they never
@@ -175,13 +153,16 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
     only when every task has finished, and a re-run after a failure gives the same table
     (applying a batch twice equals applying it once).
 
-    ``prune`` (incremental batches): the batch is checkpointed once (it is read twice). Its
-    distinct partition values, at most one per partition of the table, become a static partition
-    filter on the target, so only the touched partitions are read (``PartitionFilters`` at the
-    scan), merged and rewritten.
+    ``prune`` (incremental batches): the batch is checkpointed once (it is read twice), and the target
+    rows of the partitions it touches are found by a semi join with their distinct values, so only those
+    partitions are merged and replaced, however many they are. Nothing is collected. A NULL partition
+    value fails the job: the columns are a function of a key that is never NULL.
     Without ``prune`` (a full rebuild, where the batch touches every partition): the whole
     target is merged with the batch, computed once, and every partition is rewritten."""
     partition_by = list(partition_by)
+    for c in partition_by:
+        source = source.withColumn(c, F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}.{c}: NULL partition value"))
+                                                 .cast(source.schema[c].dataType)))
     if not spark.catalog.tableExists(table):
         merged = upsert(spark.createDataFrame([], source.schema), source, keys, update_cols)
         return replace(merged, table, partition_by)
@@ -189,13 +170,6 @@ def upsert_partitions(spark: SparkSession, table: str, source: DataFrame, keys:
     batch = source
     if prune:
         batch = reliable_checkpoint(source)
-        touched = batch.select(*partition_by).distinct()
-        values = touched.limit(MAX_PRUNE_VALUES + 1).collect()
-        if not values:
-            return
-        if len(values) > MAX_PRUNE_VALUES:
-            target = target.join(touched, partition_by, "left_semi")
-        else:
-            target = target.where(_partition_filter(values, partition_by))
-    merged = upsert(target, batch, keys, update_cols)
+        target = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
+    merged = upsert(target.select(*spark.table(table).columns), batch, keys, update_cols)
     overwrite_partitions(merged, table, partition_by)

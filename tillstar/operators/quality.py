@@ -37,28 +37,16 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
 def foreign_key_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key: (constraint_name, orphan_keys, orphan_rows).
 
-    All checks run in one plan, and each child table is read once however many keys it has:
-    its rows become (constraint, key) pairs, counted with partial aggregation, and anti-joined
-    with the (constraint, key) pairs of the parents. Keys are compared as BIGINT."""
+    Each key is an anti join of its own, on child keys counted first with partial aggregation, so a
+    small parent can be broadcast by AQE whatever the size of the others. Keys are compared as BIGINT."""
     spark = checks[0][1].sparkSession
-
-    def pairs(groups: dict) -> DataFrame:
-        parts = []
-        for df, cols in groups.values():
-            arr = F.array(*[F.struct(F.lit(name).alias("c"), F.col(col).cast("bigint").alias("k"))
-                            for name, col in cols])
-            parts.append(df.select(F.explode(arr).alias("p")).select("p.c", "p.k"))
-        return reduce(DataFrame.unionByName, parts).where(F.col("k").isNotNull())
-
-    children: dict = {}
-    parents: dict = {}
+    parts = []
     for name, child, col, parent, pcol in checks:
-        children.setdefault(id(child), (child, []))[1].append((name, col))
-        parents.setdefault((id(parent), pcol), (parent, []))[1].append((name, pcol))
-    child_keys = pairs(children).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    parent_keys = pairs(parents).distinct()
-    orphans = (child_keys.join(parent_keys, ["c", "k"], "left_anti")
-               .groupBy("c").agg(F.count(F.lit(1)).alias("orphan_keys"), F.sum("n").alias("orphan_rows")))
+        keys = child.select(F.col(col).cast("bigint").alias("k"))
+        orphans = check_foreign_key(keys, "k", parent.select(F.col(pcol).cast("bigint").alias("k")), "k")
+        parts.append(orphans.select(F.lit(name).alias("c"), "n_rows"))
+    orphans = (reduce(DataFrame.unionByName, parts).groupBy("c")
+               .agg(F.count(F.lit(1)).alias("orphan_keys"), F.sum("n_rows").alias("orphan_rows")))
     # one label row per check: bounded by the number of checks
     names = spark.createDataFrame([(c[0],) for c in checks], "c string")
     return (names.join(orphans, "c", "left")

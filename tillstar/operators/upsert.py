@@ -48,7 +48,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     out = []
     for c in cols:
         if c in keys:
-            e = F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
+            # the guard stands in the key, which every reader of the result evaluates
+            e = F.when(F.coalesce(F.col("s._s"), F.lit(True)), F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")))
         elif c in update_cols:
             e = F.when(in_s, F.col(f"s.{c}") if c in source.columns else F.lit(None)).otherwise(F.col(f"t.{c}"))
         else:

@@ -2,7 +2,7 @@
 
 M1 joins order items to four dimensions. Products, orders and customers grow with the data,
 so those joins are left to the planner (sort-merge with AQE skew splitting, or broadcast when
-the measured size is small); only coupons go through ``bounded_broadcast``.
+the measured size is small); so are the small ones (coupons, categories).
 
 M2 and M3 aggregate the fact by product first (partial aggregation before the shuffle) and
 join the much smaller per-product result to the dimensions, instead of joining every fact row.
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.dates import date_key
 from tillstar.functions.money import as_money, discounted_dec, line_total_dec, money_sum_dec
-from tillstar.operators.joins import bounded_broadcast
 
 
 def fact_sales_orders(order_items: DataFrame, dim_products: DataFrame, dim_orders: DataFrame,
@@ -31,7 +30,7 @@ def fact_sales_orders(order_items: DataFrame, dim_products: DataFrame, dim_order
     orders = (dim_orders.join(cust, dim_orders["customers_key"] == cust["_ck"], "left")
               .select(F.col("order_key"), F.col("_ck").alias("customers_key"), "status", "created_at"))
     prod = dim_products.select(F.col("products_key"), F.col("price"))
-    coup = bounded_broadcast(dim_coupons.select("coupon_key", "discount_percent"))
+    coup = dim_coupons.select("coupon_key", "discount_percent")
 
     oi = order_items.select(F.col("id").alias("sale_order_key"), "order_id", "product_id", "amount", "coupon_id")
     j = (oi.join(prod, oi["product_id"] == prod["products_key"], "left")

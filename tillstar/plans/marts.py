@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.money import money_sum_dec
-from tillstar.operators.joins import bounded_broadcast
 
 # dim_date has one row per calendar day: at most 366 rows per year of the DATE range
 # (years 1..9999: under 3.7 million rows of two columns), whatever the data volume.
@@ -65,7 +64,7 @@ def _sum_by(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _categories(dim_product_categories: DataFrame) -> DataFrame:
-    return bounded_broadcast(dim_product_categories.select("product_categories_key", F.col("name").alias("category")))
+    return dim_product_categories.select("product_categories_key", F.col("name").alias("category"))
 
 
 def revenue_by_day(sales: DataFrame) -> DataFrame:

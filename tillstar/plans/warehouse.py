@@ -74,33 +74,39 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
     assumes, so every key range is touched: the key-range upserts merge against the whole
     target once (``prune=False``), without checkpointing the batch.
 
-    ``marts_mode``: "overwrite_partitions" (re-run safe, default) or "append" (as the
+    ``marts_mode``: "overwrite_partitions" (rewritten whole, re-run safe, default) or "append" (as the
     warehouse script, which duplicates rows on a re-run).
-    ``check_foreign_keys``: fail, before any fact is written, when a dimension's declared foreign
+    ``check_foreign_keys``: fail, before any table is written, when a dimension's declared foreign
     key has orphans (the warehouse's DDL rejects such an insert)."""
     locations = locations or {}
     load.create_layer(spark, dim_db, locations.get(dim_db))
     load.create_layer(spark, pres_db, locations.get(pres_db))
     raw = _raw(spark, raw_db)
 
+    built = {name: load.conform(build(raw), f"{schemas.D}.{name}") for name, build in dims.BUILDERS.items()}
+    if check_foreign_keys:
+        # the dimensions' declared FOREIGN KEYs, before anything is written; a parent row may be in this build or
+        # already stored. The fact's hold by construction (each of its keys comes from a join with the parent).
+        def parents(name: str, col: str) -> DataFrame:
+            new = built[name].select(col)
+            stored = f"{dim_db}.{name}"
+            return new.unionByName(spark.table(stored).select(col)) if spark.catalog.tableExists(stored) else new
+
+        quality.enforce_foreign_keys([
+            (f"{name}.{col}", built[name], col, parents(parent.split(".", 1)[1], pcol), pcol)
+            for name in dims.BUILDERS
+            for col, parent, pcol in schemas.SPECS[f"{schemas.D}.{name}"].foreign_keys])
+
     # dimensions (K3 each)
-    for name, build in dims.BUILDERS.items():
+    for name, df in built.items():
         table = f"{schemas.D}.{name}"
         spec = schemas.SPECS[table]
-        df = load.conform(build(raw), table)
         if name in KEY_RANGED_DIMS:
             load.upsert_partitions(spark, f"{dim_db}.{name}", with_key_range(df, spec.primary_key[0]),
                                    spec.primary_key, update_columns(table), ["key_range"], prune=False)
         else:
             load.upsert_table(spark, f"{dim_db}.{name}", df, spec.primary_key, update_columns(table))
     d = {n: spark.table(f"{dim_db}.{n}").drop("key_range") for n in dims.BUILDERS}
-    if check_foreign_keys:
-        # the dimensions' declared FOREIGN KEYs; the fact's hold by construction (each of its keys
-        # comes from a join with the parent dimension)
-        quality.enforce_foreign_keys([
-            (f"{name}.{col}", d[name], col, d[parent.split(".", 1)[1]], pcol)
-            for name in dims.BUILDERS
-            for col, parent, pcol in schemas.SPECS[f"{schemas.D}.{name}"].foreign_keys])
 
     # sales fact: upsert restricted to the key ranges of this batch
     fact_name = f"{schemas.D}.fact_sales_orders"
@@ -132,15 +138,15 @@ def build_star(spark: SparkSession, raw_db: str, dim_db: str = schemas.D, pres_d
         if marts_mode == "append":
             load.append(stored, target, ["year", "month"])
         else:
-            load.overwrite_partitions(stored, target, ["year", "month"])
+            # a full rebuild: months that are no longer produced go too
+            load.replace(stored, target, ["year", "month"])
     daily = _year_month(load.conform(marts.revenue_by_day(sales), f"{schemas.P}.daily_order_revenue"))
     load.upsert_partitions(spark, f"{pres_db}.daily_order_revenue", daily, ["date"], ["amount", "revenue"],
                            ["year", "month"], prune=False)
 
 
 def build_erd(spark: SparkSession, raw_db: str, erd_db: str = schemas.E, location: str | None = None) -> None:
-    """The dbo model: dimensions replaced, the item dimension appended (K2, as its script
-    inserts), facts replaced."""
+    """The dbo model: dimensions and facts replaced, so a re-run gives the same tables."""
     load.create_layer(spark, erd_db, location)
     r = _raw(spark, raw_db)
     tables = {
@@ -155,8 +161,9 @@ def build_erd(spark: SparkSession, raw_db: str, erd_db: str = schemas.E, locatio
     }
     for name, df in tables.items():
         load.replace(load.conform(df, f"{schemas.E}.{name}"), f"{erd_db}.{name}")
-    load.append(load.conform(erd.dim_order_items(r["order_items"]), f"{schemas.E}.dim_order_items"),
-                f"{erd_db}.dim_order_items")
+    # keyed, so a second insert of the same items would be rejected: it is replaced like the others
+    load.replace(load.conform(erd.dim_order_items(r["order_items"]), f"{schemas.E}.dim_order_items"),
+                 f"{erd_db}.dim_order_items")
     e = {n: spark.table(f"{erd_db}.{n}") for n in list(tables) + ["dim_order_items"]}
     load.replace(erd.sale_lines(e["dim_orders"], e["dim_order_items"], e["dim_product"]), f"{erd_db}.fact_sale_orders")
     load.replace(erd.category_revenue(e["dim_product_categories"], e["dim_product"], e["dim_order_items"]),

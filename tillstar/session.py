@@ -5,7 +5,6 @@ On a cluster the session is built by the launcher; nothing here overrides what i
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,8 +54,9 @@ def scratch_root(spark: SparkSession) -> str:
         if not root and sc.getCheckpointDir():
             root = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillstar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root) if sc is None else None
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -65,8 +65,8 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the scratch root (one per run)."""
     path = f"{scratch_root(spark)}/tillstar/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 

@@ -50,12 +50,16 @@ def with_read_position(df: DataFrame, paths: Sequence[str], in_row: Column | Non
                        meta: str = "_metadata") -> DataFrame:
     """Add the ``READ_ORDER`` columns. Must be applied directly on a file scan; ``meta`` names
     the file metadata struct (the hidden ``_metadata`` column, or a copy of it)."""
-    ordinals = {_norm_path_py(p).rstrip("/"): i for i, p in enumerate(paths)}
+    # Spark reports paths as encoded URIs; the caller's list is encoded by the same class
+    uri = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    ordinals = {_norm_path_py(uri(p).toUri().toString()).rstrip("/"): i for i, p in enumerate(paths)}
     fpath = _norm_path(F.col(f"{meta}.file_path"))
     if ordinals:
         # a literal map of the caller's file list: bounded by the list, not by the data
         ordmap = F.create_map(*[x for k, v in ordinals.items() for x in (F.lit(k), F.lit(v))])
-        ordinal = F.coalesce(F.element_at(ordmap, fpath), F.lit(0))
+        # the file itself or, where a folder is listed, its folder
+        ordinal = F.coalesce(F.try_element_at(ordmap, fpath), F.try_element_at(ordmap, F.regexp_replace(fpath, "/[^/]*$", F.lit(""))),
+                             F.raise_error(F.concat(F.lit("file is not in the source's list: "), fpath)).cast("int"))
     else:
         ordinal = F.lit(0)
     return (df.withColumn("_file_ordinal", ordinal)
@@ -67,12 +71,14 @@ def with_read_position(df: DataFrame, paths: Sequence[str], in_row: Column | Non
 
 # ---------------------------------------------------------------- S2 / S5: CSV
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-             index_column: bool = True, header: bool = True, positions: bool = False) -> DataFrame:
-    """Multi-file CSV with a header row. ``index_column``: the files start with an unnamed
+             index_column: bool = True, header: bool = True, positions: bool = False, multiline: bool = False) -> DataFrame:
+    """Multi-file CSV with a header row. ``multiline``: quoted fields may hold line breaks. ``index_column``: the files start with an unnamed
     index column (written by a pandas ``to_csv``); it is read and dropped (P1)."""
     paths = _as_list(paths)
     fields = ([T.StructField("_index", T.LongType())] if index_column else []) + list(schema.fields)
     df = (spark.read.schema(T.StructType(fields)).option("header", header)
+          # a quote inside a quoted field is doubled; all columns are parsed, so a short row fails
+          .option("escape", '"').option("multiLine", multiline).option("columnPruning", False)
           .option("mode", "FAILFAST").csv(paths))
     if positions:
         df = with_read_position(df, paths)
@@ -152,9 +158,14 @@ def read_json_columns(spark: SparkSession, paths: str | Sequence[str], schema: T
 
 
 def _timestamp_text(c: Column, dtype: T.DataType) -> Column:
-    """ISO text -> timestamp; all-digit text -> epoch milliseconds (wall clock in UTC)."""
+    """ISO text -> timestamp; all-digit text -> time since 1970 (wall clock in UTC), in the first of seconds,
+    milliseconds, microseconds and nanoseconds that stays within 64-bit nanoseconds, as pandas reads it."""
+    number = c.cast("decimal(20,0)")
+    most = F.lit(9223372036).cast("decimal(20,0)")
+    per_second = (F.when(F.abs(number) <= most, F.lit(1)).when(F.abs(number) <= most * 1000, F.lit(1000))
+                  .when(F.abs(number) <= most * 1000000, F.lit(1000000)).otherwise(F.lit(1000000000)))
     epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
-        secs=(c.cast("decimal(20,0)") / 1000).cast("decimal(18,6)"))
+        secs=(number / per_second.cast("decimal(10,0)")).cast("decimal(18,6)"))
     ntz = F.when(c.rlike("^-?[0-9]+$"), epoch).otherwise(F.to_timestamp_ntz(c))
     return ntz.cast(dtype)
 
