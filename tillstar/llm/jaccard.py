@@ -82,10 +82,9 @@ def shingles(token_hashes: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.
             own = np.sort(grams[a:b - n + 1])
             own = own[runs(own)]
         elif b > a:
-            part = np.uint64(b - a)
+            own = np.array([b - a], np.uint64)
             for j in range(b - a):
-                part = mix64(np.array([part * odd[j % 8] + token_hashes[a + j]], np.uint64))[0]
-            own = np.array([part], np.uint64)
+                own = mix64(own * odd[j % 8] + token_hashes[a + j:a + j + 1])
         else:
             continue
         out.append(own)
