@@ -272,6 +272,17 @@ def upsert_orders_subset(spark, sf_dir):
     return spark.table(table)
 
 
+def upsert_partitions_incremental(spark, sf_dir):
+    """K3 on a table partitioned by a function of the key: only the partitions that the batch touches are
+    merged and rewritten, the others stay."""
+    d = Model(spark, sf_dir).star["dim_orders"].withColumn("part", F.floor(F.col("order_key") / 2048))
+    table = f"{_database(spark, 'dimensional')}.dim_orders"
+    load.replace(d.where(F.col("created_at") < F.lit(UPSERT_TARGET_BEFORE).cast("date")), table, ["part"])
+    batch = upsert_source(d.drop("part")).withColumn("part", F.floor(F.col("order_key") / 2048))
+    load.upsert_partitions(spark, table, batch, ["order_key"], ["status", "created_at"], ["part"])
+    return spark.table(table).drop("part")
+
+
 # ----------------------------------------------------------------- constraint checks
 def check_primary_key(spark, sf_dir):
     """Duplicate order item ids among all lineitem-derived versions."""
@@ -372,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_append": load_append,
     "load_overwrite_partitions": load_overwrite_partitions,
     "upsert_orders_subset": upsert_orders_subset,
+    "upsert_partitions_incremental": upsert_partitions_incremental,
     "check_primary_key": check_primary_key,
     "check_foreign_key": check_foreign_key,
     "check_not_null": check_not_null,
