@@ -276,6 +276,15 @@ def test_em_finds_the_reliable_labellers():
     assert post["110"] > 0.9 and post["001"] < 0.1 and post["100"] > post["010"]
 
 
+def test_letters_of_long_texts_are_counted_whole():
+    """op2: the letter share is that of the whole text, however long."""
+    for n in (10, 405, 10_000):
+        for pair in ("alpha 12345 ", "12345 alpha "):
+            assert quality.votes(pair * n)[-1] == quality.BAD  # half of the characters are letters
+    for text in ("prices 98.50 " * 10_000, "größe ½ ٣ 漢字 x1 " * 900, "\ud800 a1"):
+        assert quality.count_letters(text) == sum(map(str.isalpha, text))
+
+
 def test_base_hash_is_of_the_spans(spark):
     r = spark.createDataFrame([(1, "token=abcdefgh")], "doc_id long, text string")
     got = secrets.scan(r, run_folder(spark, "test-ledger")).select(secrets.spans_text(F.col("found"))).first()[0]

@@ -28,12 +28,21 @@ EPOCHS = 3
 # The prior of the label model counts as this many times the votes that were cast.
 BELIEF = 5.0
 
+NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha())
+BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+
 
 def band(value: float, good: float, bad: float) -> str:
     """Good up to ``good``, bad from ``bad``, abstaining between."""
     return GOOD if value <= good else BAD if value >= bad else ABSTAIN
 
 
+def count_letters(text: str) -> int:
+    """Characters of the whole text that are letters, as ``str.isalpha`` says; ASCII ones are counted as bytes."""
+    ascii_ones = len(text.encode("ascii", "ignore").translate(None, NO_LETTERS))
+    return ascii_ones if text.isascii() else ascii_ones + sum(map(str.isalpha, "".join(BEYOND_ASCII.findall(text))))
+
+
 def votes(text: str | None) -> str:
     """One character per labeller. A text without words is bad in the eyes of the first and nobody else's concern."""
     words = text.split() if text else []
@@ -41,7 +50,7 @@ def votes(text: str | None) -> str:
     if not n:
         return BAD + ABSTAIN * 7
     chars = sum(map(len, words))
-    letters = sum(map(str.isalpha, "".join(words))) if chars < 4000 else sum(map(str.isalpha, "".join(words[:: chars // 4000 + 1]))) * (chars // 4000 + 1)
+    letters = count_letters(text)
     upper = sum(w.isupper() and len(w) > 1 for w in words) / n
     tails = sum(not w[-1].isalnum() for w in words) / n
     marked = sum(len(w) > 1 and not w[-2:].isalnum() and not w[-2].isalnum() for w in words) / n
