@@ -285,6 +285,16 @@ def test_letters_of_long_texts_are_counted_whole():
         assert quality.count_letters(text) == sum(map(str.isalpha, text))
 
 
+def test_repetition_is_judged_at_every_length():
+    """op2: a loop is bad however often it repeats, and a long text of ever new words is not."""
+    for n in (30, 199, 200, 201, 2_000, 20_000):
+        assert quality.votes("buy cheap pills online now " * n)[6] == quality.BAD
+    for n in (100, 999, 1_001, 50_000):
+        assert quality.votes(" ".join(f"w{k % 700}" for k in range(n)))[6] == quality.GOOD
+    # half new words, half a loop: the stretches are averaged, not picked
+    assert quality.votes(" ".join(f"w{k}" for k in range(500)) + " a b" * 4_000)[6] == quality.BAD
+
+
 def test_base_hash_is_of_the_spans(spark):
     r = spark.createDataFrame([(1, "token=abcdefgh")], "doc_id long, text string")
     got = secrets.scan(r, run_folder(spark, "test-ledger")).select(secrets.spans_text(F.col("found"))).first()[0]

@@ -25,6 +25,8 @@ GOOD, BAD, ABSTAIN = "1", "0", "-"
 TRAIN_DOCS = 8_000
 BUCKETS = 1 << 16
 EPOCHS = 3
+# Words of a stretch of text whose distinct words are counted.
+STRETCH = 1000
 # The prior of the label model counts as this many times the votes that were cast.
 BELIEF = 5.0
 
@@ -56,7 +58,9 @@ def votes(text: str | None) -> str:
     marked = sum(len(w) > 1 and not w[-2:].isalnum() and not w[-2].isalnum() for w in words) / n
     alone = sum(not any(map(str.isalnum, w)) for w in words) / n
     same = sum(map(str.__eq__, words, words[1:])) / n
-    kinds = len(set(words)) / n
+    # distinct words of each stretch of at most STRETCH words, over all stretches, so that length does not lower the share
+    m = -(-n // STRETCH)
+    kinds = sum(len(set(words[k * n // m:(k + 1) * n // m])) for k in range(m)) / n
     mean = chars / n
     return "".join((
         GOOD if n >= 50 else BAD if n < 2 else ABSTAIN,
@@ -65,7 +69,7 @@ def votes(text: str | None) -> str:
         band(marked, 0.03, 0.15),
         band(alone, 0.02, 0.1),
         band(same, 0.03, 0.15),
-        (GOOD if kinds >= 0.3 else BAD if kinds < 0.15 else ABSTAIN) if n < 1000 else ABSTAIN,
+        GOOD if kinds >= 0.3 else BAD if kinds < 0.15 else ABSTAIN,
         GOOD if 3 <= mean <= 9 and letters / chars >= 0.85 else BAD if letters / chars < 0.7 else ABSTAIN,
     ))
 
