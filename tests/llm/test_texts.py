@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -276,6 +277,26 @@ def test_em_finds_the_reliable_labellers():
     assert post["110"] > 0.9 and post["001"] < 0.1 and post["100"] > post["010"]
 
 
+def test_em_estimates_with_the_default_prior():
+    """op2: accuracies come from the votes, and the prior does not grow with them."""
+    rng = random.Random(1)
+    for n in (4_000, 100_000):
+        counts = Counter()
+        for _ in range(n):
+            y = rng.random() < 0.7
+            counts["".join("-" if rng.random() < 0.2 else str(int(y if rng.random() < a else not y)) for a in (0.95, 0.9, 0.6))] += 1
+        post = quality.em(counts)
+        assert post["110"] > 0.9 and post["001"] < 0.1 and post["100"] > post["010"]
+    assert quality.em({}) == {}
+
+
+def test_em_tells_kinds_of_bad_apart():
+    """op2: a kind of bad that two labellers find is bad, though most others call it good."""
+    counts = {"111111": 8600, "000111": 500, "001111": 100, "111100": 400, "111110": 60, "111101": 60}
+    post = quality.em(counts)
+    assert post["111111"] > 0.9 and post["000111"] < 0.1 and post["111100"] < 0.1
+
+
 def test_letters_of_long_texts_are_counted_whole():
     """op2: the letter share is that of the whole text, however long."""
     for n in (10, 405, 10_000):

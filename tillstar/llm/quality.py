@@ -2,7 +2,7 @@
 
 Each labeller votes good, bad or abstains on a document. Only the counts of vote patterns (at most
 3^8) reach the driver, where EM estimates, without any given label, how often each labeller votes each way on good
-and on bad documents. A document's posterior follows from its pattern. A linear scorer over hashed words
+and on bad documents, and how many kinds of bad documents there are. A document's posterior follows from its pattern. A linear scorer over hashed words
 and word shapes is then trained on posteriors of a bounded sample and scores every document.
 """
 
@@ -27,8 +27,10 @@ BUCKETS = 1 << 16
 EPOCHS = 3
 # Words of a stretch of text whose distinct words are counted.
 STRETCH = 1000
-# The prior of the label model counts as this many times the votes that were cast.
-BELIEF = 5.0
+# The prior of the label model counts as this many votes of each labeller in each class, however many were cast.
+BELIEF = 2.0
+# A labeller that calls more of the good documents bad does not start a kind of bad.
+SELDOM = 0.1
 
 NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha())
 BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
@@ -74,11 +76,35 @@ def votes(text: str | None) -> str:
     ))
 
 
-def em(counts: dict[str, int], belief: float = BELIEF, rounds: int = 200) -> dict[str, float]:
-    """Pattern -> posterior of good. Two classes, votes independent given the class.
+def fit(n: np.ndarray, hot: np.ndarray, start: np.ndarray, share: np.ndarray, belief: float, rounds: int):
+    """EM from ``start`` (class x labeller x vote), which counts as ``belief`` votes: log-likelihood, votes, posteriors."""
+    flat, right, before = hot.reshape(len(hot), -1), start, -math.inf
+    for _ in range(rounds):
+        like = np.log(share)[None] + flat @ np.log(right).reshape(len(right), -1).T
+        top = like.max(1, keepdims=True)
+        post = np.exp(like - top)
+        total = post.sum(1, keepdims=True)
+        post /= total
+        fits = float(n @ (top + np.log(total))[:, 0])
+        mass = n[:, None] * post
+        share = (mass.sum(0) + 1) / (n.sum() + len(share))
+        right = (mass.T @ flat).reshape(start.shape) + belief * start
+        right /= right.sum(2, keepdims=True)
+        if abs(fits - before) <= 1e-9 * abs(fits):
+            break
+        before = fits
+    return fits, right, post
+
+
+def em(counts: dict[str, int], belief: float = BELIEF, rounds: int = 2000) -> dict[str, float]:
+    """Pattern -> posterior of good. Votes are independent given the class: good, or one of the kinds of bad.
 
-    Abstaining says nothing about the class, so only votes enter the likelihood. The start, kept as a prior worth ``belief`` times
-    the votes, is that a labeller seldom calls a good document bad and misses many bad ones.
+    Abstaining says nothing about the class, so only votes enter the likelihood. Shares of the classes and how each labeller votes
+    in each are estimated; the start, that a labeller seldom calls a good document bad and misses many bad ones,
+    stays as a prior of ``belief`` votes for each labeller and class, whatever the size of the corpus.
+
+    There is one kind of bad at first. One more, which starts as what a single labeller finds that seldom calls good documents
+    bad, is added while that lowers the Bayesian information criterion and some labeller calls most documents of each added kind bad.
     """
     patterns = sorted(counts)
     if not patterns:
@@ -86,21 +112,22 @@ def em(counts: dict[str, int], belief: float = BELIEF, rounds: int = 200) -> dic
     n = np.array([counts[p] for p in patterns], float)
     # one-hot votes: pattern x labeller x (bad, good)
     hot = np.array([[[v == BAD, v == GOOD] for v in p] for p in patterns], float)
-    start = np.broadcast_to(np.array([[[0.25, 0.75]], [[0.003, 0.997]]]), (2, hot.shape[1], 2))  # class x labeller x vote
-    right, prior = start, np.array([0.2, 0.8])
-    cast = np.einsum("p,plk->l", n, hot)  # votes of each labeller
-    for _ in range(rounds):
-        like = np.log(prior)[None] + np.einsum("plk,clk->pc", hot, np.log(right))
-        post = np.exp(like - like.max(1, keepdims=True))
-        post /= post.sum(1, keepdims=True)
-        mass = n[:, None] * post
-        new = (mass.sum(0) + 1) / (n.sum() + 2)
-        right = np.einsum("pc,plk->clk", mass, hot) + belief * (new[:, None] * cast[None])[:, :, None] * start + 0.1
-        right /= right.sum(2, keepdims=True)
-        if np.abs(new - prior).max() < 1e-9:
-            break
-        prior = new
-    return dict(zip(patterns, post[:, 1].tolist(), strict=True))
+    labellers = hot.shape[1]
+    bad, good = np.tile([0.25, 0.75], (labellers, 1)), np.tile([0.003, 0.997], (labellers, 1))
+
+    def model(found: list[int]):
+        kinds = [np.where(np.arange(labellers)[:, None] == k, [0.75, 0.25], good) for k in found]
+        bads = 1 + len(kinds)
+        fits, right, post = fit(n, hot, np.stack([bad, *kinds, good]), np.array([0.2 / bads] * bads + [0.8]), belief, rounds)
+        return -2 * fits + bads * (labellers + 1) * math.log(n.sum()), found, right, post
+
+    best = model([])
+    while True:
+        tries = [model([*best[1], k]) for k in range(labellers) if k not in best[1] and best[2][-1, k, 0] <= SELDOM]
+        better = [t for t in tries if t[0] < best[0] and (t[2][1:-1, :, 0].max(1) >= 0.5).all()]
+        if not better:
+            return dict(zip(patterns, best[3][:, -1].tolist(), strict=True))
+        best = min(better, key=lambda t: t[0])
 
 
 ASCII_SIGNS = {i: "A" if chr(i).isupper() else "a" if chr(i).isalpha() else "0" if chr(i).isdigit() else chr(i) for i in range(128)}
