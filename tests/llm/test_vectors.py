@@ -51,6 +51,18 @@ def test_links_against_all_pairs(spark, table):
     assert embed_dedup.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_of_crowded_vectors(spark):
+    """op4: vectors of one label that lie close together keep every link, also those that no window meets."""
+    rng = np.random.default_rng(5)
+    x = 3 * rng.standard_normal(32) + rng.standard_normal((1500, 32))
+    x[1400:] = x[:100] + 0.1 * rng.standard_normal((100, 32))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    rows = [(k, v.tolist(), 0, "a", "b") for k, v in enumerate(x)]
+    got = embed_dedup.deduplicate(spark.createDataFrame(rows, SCHEMA.replace("float", "double")), passes=1, window=1).collect()
+    assert near.sum() >= 1700 and {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate((near.sum(1) - 1).tolist()))
+
+
 def test_search_against_brute_force(spark, table):
     rows = usable(table)
     got = {}

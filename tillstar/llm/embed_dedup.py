@@ -6,6 +6,10 @@ share a beginning of their hashes and stand close together, so each vector is co
 ``window`` ones, and pairs at or above the threshold are links. Passes are independent;
 their links are united and chained into components.
 
+A window may miss a pair, the more so the more vectors of a label lie close. So all vectors of a label are then compared with each other
+across components, in blocks of bounded size; a task sends on at most one link for each component it met. This makes the
+components exact. It is quadratic in the size of a label.
+
 A window is bounded, a group of copies is not. So the members of each component are then compared with
 each other completely, in blocks of bounded size and without writing pairs: only counts
 leave a task. ``n_links`` therefore holds every vector of the component within the threshold.
@@ -30,8 +34,8 @@ PASSES = 16
 PASSES_PER_JOB = 4
 BITS = 48
 WINDOW = 48
-# Vectors of a block in the complete comparison of a component.
-BLOCK = 512
+# Vectors of a block in the complete comparison of a component, and of a label.
+BLOCK, LABEL_BLOCK = 512, 1024
 LINKS = "a bigint, b bigint"
 
 
@@ -160,6 +164,53 @@ def complete(threshold: float):
     return run
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few links as join the same nodes: each node with the smallest one that the links (a, b) reach."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, low = at[:len(a)], at[len(a):], np.arange(len(nodes))
+    while True:
+        least, new = np.minimum(low[i], low[j]), low.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == low).all():
+            keep = low != np.arange(len(nodes))
+            return nodes[keep], nodes[low[keep]]
+        low = new
+
+
+def between(threshold: float):
+    """Links of components over rows of two blocks of one label: every pair of vectors within the threshold across components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                cx, cy = (batch.column(c)[k].values.to_numpy() for c in ("components", "other_components"))
+                x, y = (matrix(batch.column(c)[k].values) for c in ("vs", "other_vs"))
+                u, w = unit(x), unit(y)
+                a, b = cx[:0], cy[:0]
+                for at in range(0, len(x), BLOCK):
+                    # the margin keeps every pair for the exact measure below
+                    i, j = np.nonzero((u[at:at + BLOCK] @ w.T >= threshold - 1e-9) & (cx[at:at + BLOCK, None] != cy[None]))
+                    for part in range(0, len(i), 1 << 16):
+                        m, n = i[part:part + (1 << 16)] + at, j[part:part + (1 << 16)]
+                        sure = cosine(x[m], y[n]) >= threshold
+                        a, b = stars(np.concatenate([a, cx[m[sure]]]), np.concatenate([b, cy[n[sure]]]))
+                if len(a):
+                    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def across_components(rows: DataFrame, classes: DataFrame, folder: str, threshold: float) -> DataFrame:
+    """Links between components, from all pairs of vectors of a label that lie in different ones."""
+    size = rows.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / LABEL_BLOCK).cast("int").alias("blocks"))
+    named = rows.join(classes, rows["id"] == classes["node"], "left").select("id", "label", "v", F.coalesce("component", "id").alias("component"))
+    members = named.join(size, "label").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    blocks = cut(members.groupBy("label", "blocks", "block").agg(F.collect_list("component").alias("components"), F.collect_list("v").alias("vs")), folder, "label-blocks")
+    other = blocks.select("label", F.col("block").alias("other"), F.col("components").alias("other_components"), F.col("vs").alias("other_vs"))
+    pairs = blocks.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).join(other, ["label", "other"])
+    return cut(pairs.select("components", "vs", "other_components", "other_vs").mapInArrow(between(threshold), LINKS), folder, "across")
+
+
 def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
                 threshold: float = THRESHOLD, passes: int = PASSES, window: int = WINDOW, seed: int = 4) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row.
@@ -182,6 +233,9 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embed
     if links is None:
         links = spark.createDataFrame([], LINKS)
     classes = cut(components(links, folder), folder, "components")
+    more = across_components(rows, classes, folder, threshold)
+    if not more.isEmpty():
+        classes = cut(components(links.unionAll(more), f"{folder}/second"), folder, "second-components")
     # members in blocks: a hash deals a component's members, so no block or pair of blocks grows with it
     size = classes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = rows.join(classes, rows["id"] == classes["node"]).join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
