@@ -1,10 +1,12 @@
-"""Registered queries of this subpackage. None has an SQL oracle: models, hashes and packings are not SQL.
+"""Registered queries of this subpackage, with DuckDB SQL where SQL can express them.
 
-They are tested against brute force, exact round trips or held-out accuracy in ``tests/llm``.
+The others (models, hashes, packings) are tested against brute force, exact round trips or held-out
+accuracy in ``tests/llm``.
 """
 
 from __future__ import annotations
 
+from tillstar.llm import sharding
 from tillstar.llm.ann import op5_nearest_neighbours
 from tillstar.llm.embed_dedup import op4_embedding_near_dedup
 from tillstar.llm.jaccard import op8_jaccard_join
@@ -13,10 +15,12 @@ from tillstar.llm.mixing import op10_mixing
 from tillstar.llm.packing import op3_best_fit_packing
 from tillstar.llm.quality import op2_quality_classifier
 from tillstar.llm.secrets import op7_secret_scans
+from tillstar.llm.sharding import op12_sharding
 from tillstar.llm.token_counts import op9_token_counts
 from tillstar.llm.toxicity import op6_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_quality_classifier, op4_embedding_near_dedup, op5_nearest_neighbours, op3_best_fit_packing, op6_toxicity, op7_secret_scans, op8_jaccard_join, op9_token_counts, op10_mixing,
+    op12_sharding,
 )}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_sharding": sharding.oracle_sql()}
