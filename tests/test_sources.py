@@ -90,12 +90,6 @@ def test_column_json_from_pandas_with_dates(spark, scratch):
     assert str(rows[0].attempted_at) == "2024-01-01 08:30:00.250000"
 
 
-def test_avro_reports_missing_module(spark, scratch):
-    import pytest
-    with pytest.raises(Exception):
-        files.read_avro(spark, [scratch + "/nothing.avro"], schemas.RAW["order_items"]).collect()
-
-
 def test_json_records_from_pandas_with_dates(spark, scratch):
     import pandas as pd
     d = scratch.replace("file:", "")

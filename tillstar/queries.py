@@ -192,6 +192,13 @@ def scan_parquet(spark, sf_dir):
     return files.read_parquet(spark, path, schemas.RAW["orders"])
 
 
+def scan_avro(spark, sf_dir):
+    """Order items written as Avro container files in small blocks, read back by many tasks a file."""
+    path = new_scratch_dir(spark, "items-avro")
+    files.write_avro(SourceTables(spark, sf_dir).order_items, path, num_files=4, block_bytes=16 << 10)
+    return files.read_avro(spark, path, schemas.RAW["order_items"], split_bytes=128 << 10)
+
+
 def stream_ingest_logins(spark, sf_dir):
     """Streaming ingest (Structured Streaming, foreachBatch keep-last + upsert): login attempts
     land in two batches, first a stale version of every attempt (success flag inverted), then
@@ -378,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_json_columns_logins": scan_json_columns_logins,
     "scan_json_records": scan_json_records,
     "scan_parquet": scan_parquet,
+    "scan_avro": scan_avro,
     "stream_ingest_logins": stream_ingest_logins,
     "load_replace": load_replace,
     "load_append": load_append,

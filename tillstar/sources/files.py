@@ -18,6 +18,7 @@ keep their leading zeros.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.sources import avro
+
 # Microsecond text form of TIMESTAMP_NTZ in JSON (Spark's default writes milliseconds only).
 NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -38,7 +41,6 @@ def _norm_path(c: Column) -> Column:
 
 
 def _norm_path_py(p: str) -> str:
-    import re
     return re.sub(_SCHEME, "/", p) if re.match(_SCHEME, p) else p
 
 
@@ -189,20 +191,33 @@ def write_json_columns(df: DataFrame, path: str, num_files: int) -> None:
 
 # ---------------------------------------------------------------- S4: Avro
 def read_avro(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
-              positions: bool = False) -> DataFrame:
-    """Avro files. Needs the spark-avro module on the classpath (not bundled with pyspark)."""
-    paths = _as_list(paths)
-    reader = spark.read.format("avro")
-    if schema is not None:
-        reader = reader.schema(schema)
-    try:
-        df = reader.load(paths)
-    except Exception as e:  # noqa: BLE001
-        if "avro" in str(e).lower() and "data source" in str(e).lower():
-            raise RuntimeError("Avro needs the spark-avro module on the classpath "
-                               "(spark.jars.packages=org.apache.spark:spark-avro_2.13:<spark version>)") from e
-        raise
-    return with_read_position(df, paths) if positions else df
+              positions: bool = False, split_bytes: int | None = None) -> DataFrame:
+    """Avro container files through the data source of ``sources.avro``, several tasks a file. Without ``schema``
+    the first file's own is taken; with it, files are resolved against it and other fields are skipped.
+    ``split_bytes`` defaults to the session's ``spark.sql.files.maxPartitionBytes``."""
+    avro.register(spark)
+    if split_bytes is None:
+        split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    reader = spark.read.format(avro.FORMAT).option("paths", json.dumps(_as_list(paths))).option("splitBytes", split_bytes)
+    if positions:
+        schema = schema or reader.load().schema
+        schema = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in avro.POSITION.items()]])
+    return (reader if schema is None else reader.schema(schema)).load()
+
+
+def write_avro(df: DataFrame, path: str, num_files: int, codec: str = "deflate", block_bytes: int = 64 << 10) -> None:
+    """Avro container files, one a task; the folder's earlier files go when the new ones are in place."""
+    avro.register(df.sparkSession)
+    (df.repartition(num_files).write.format(avro.FORMAT).mode("overwrite").option("codec", codec).option("blockBytes", block_bytes)
+     .save(path))
+
+
+def _bytes(size: str) -> int:
+    """``134217728b``, ``128MB``, ``128m`` -> bytes."""
+    m = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", size.strip().lower())
+    if not m:
+        raise ValueError(f"not a size: {size!r}")
+    return int(m[1]) << 10 * " kmgt".index(m[2] or " ")
 
 
 # ---------------------------------------------------------------- S6: Parquet
