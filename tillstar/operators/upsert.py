@@ -32,8 +32,21 @@ def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.withColumn("_s", guard)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
-    """The target after the upsert, with the target's columns in the target's order."""
+def was(column: str) -> str:
+    return f"_was_{column}"
+
+
+# 0: a target row that the source does not name, 1: inserted, 2: updated.
+CHANGE = "_change"
+KEPT, INSERTED, UPDATED = 0, 1, 2
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+           remember: Sequence[str] = ()) -> DataFrame:
+    """The target after the upsert, with the target's columns in the target's order.
+
+    With ``remember``, the join also tells what it did: ``_change`` of each row, and the old values
+    of these columns as ``_was_<column>`` where a row was updated."""
     keys = list(keys)
     cols = target.columns
     missing = [c for c in update_cols if c not in cols]
@@ -55,4 +68,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
         else:
             e = F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}") if c in source.columns else F.lit(None))
         out.append(e.cast(target.schema[c].dataType).alias(c))
+    if remember:
+        out.append(F.when(in_s & in_t, F.lit(UPDATED)).when(in_s, F.lit(INSERTED)).otherwise(F.lit(KEPT)).alias(CHANGE))
+        out += [F.when(in_s & in_t, F.col(f"t.{c}")).alias(was(c)) for c in remember]
     return j.select(*out)

@@ -70,6 +70,21 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, seconds since 1970 of its last change) of the folders directly below ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(folder) if s.isDirectory()]
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` into the shared checkpoint folder (set from the session first):
     materialised once, survives executor loss, and cuts the lineage. Never ``localCheckpoint``."""
