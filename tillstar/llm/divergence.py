@@ -155,12 +155,14 @@ def price(x: tuple, y: tuple, terms: int) -> int:
 
 def price_tiles(group: pa.Table) -> pa.Table:
     """(lang, a, b, value) for the pairs of sources of two tiles (or within one) in one block of terms."""
-    rows = sorted(group.to_pylist(), key=lambda r: r["number"])
+    group = group.sort_by("number").combine_chunks()
+    entries = group.column("entries").combine_chunks()
+    ends, flat = np.asarray(entries.offsets), entries.values
+    ids, counts = np.asarray(flat.field("id")).astype(np.int64), np.asarray(flat.field("n"))
+    rows = group.drop_columns(["entries"]).to_pylist()
     arrays = []
-    for r in rows:
-        ids = np.array([e["id"] for e in r["entries"] or ()], np.int64)
-        n = np.array([e["n"] for e in r["entries"] or ()], np.int64)
-        arrays.append((ids, chances(n, r["total"], r["kept"]), chances(np.zeros(1, np.int64), r["total"], r["kept"])[0]) if r["kept"] else None)
+    for r, a, b in zip(rows, ends[:-1], ends[1:], strict=True):
+        arrays.append((ids[a:b], chances(counts[a:b], r["total"], r["kept"]), chances(np.zeros(1, np.int64), r["total"], r["kept"])[0]) if r["kept"] else None)
     out = {"lang": [], "a": [], "b": [], "value": []}
     for i, x in enumerate(rows):
         for j in range(i + 1, len(rows)):
@@ -219,7 +221,7 @@ def pair_values(groups: DataFrame, kept: DataFrame, ids: DataFrame, blocks: int)
     dealt = (groups.join(tiles, "lang").withColumn("tile", tile).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
              .join(entries, ["lang", "source", "block"], "left").join(sizes, ["lang", "block"], "left").na.fill(0, ["terms"])
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last_tile"))))
-             .select("lang", "source", "number", "tile", "block", "total", "kept", "terms", "entries", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")))
+             .select("lang", "source", "number", "tile", "block", "total", "kept", "terms", F.coalesce("entries", F.array().cast("array<struct<id:int,n:bigint>>")).alias("entries"), F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")))
     priced = dealt.groupBy("lang", "block", "low", "high").applyInArrow(price_tiles, "lang string, a string, b string, value long")
     return priced.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
