@@ -114,17 +114,32 @@ def test_append_once(spark, db, monkeypatch):
 
 def test_changes_tell_old_and_new_rows(spark, db):
     t = f"{db}.t"
-    put = lambda df: versions.upsert_versioned(spark, t, df, ["id"], ["x"], BY_RANGE, remember=("id", "x"))
+    put = lambda df: versions.upsert_versioned(spark, t, df, ["id"], ["x"], BY_RANGE, remember=("x",))
     put(make(spark, 0, 200, 1))
     put(make(spark, 150, 250, 2))
     put(make(spark, 240, 241, 3))
-    told = lambda after: sorted(map(tuple, versions.changes(spark, t, after, ("id", "x")).collect()))
+    told = lambda after: sorted(map(tuple, versions.changes(spark, t, after, ("id", "x"), ("x",)).collect()))
     assert told(3) == [] and told(2) == [(240, 2, -1), (240, 3, 1)]
     assert told(1) == sorted([(i, 1, -1) for i in range(150, 200)] + [(i, 2, 1) for i in range(150, 250)] + told(2))
     assert told(0) == sorted([(i, 1, 1) for i in range(200)] + told(1))
     assert versions.fresh(spark, t, 1) == ({"p=1", "p=2"}, True) and versions.fresh(spark, t, 2) == ({"p=2"}, True)
+    assert sorted(r[0] for r in versions.changed_keys(spark, t, 1, ["id"], ["x"]).collect()) == list(range(150, 250))
+    put(make(spark, 0, 250, 9).where("id < 3").unionAll(make(spark, 10, 12, 1)))
+    assert sorted(r[0] for r in versions.changed_keys(spark, t, 3, ["id"], ["x"]).collect()) == [0, 1, 2]
     versions.replace(spark, t, make(spark, 0, 5, 1), BY_RANGE)
-    assert versions.fresh(spark, t, 3) == ({"p=0"}, False)
+    assert versions.fresh(spark, t, 4) == ({"p=0", "p=1", "p=2"}, False)
+
+
+def test_changes_leave_out_a_version_that_was_lost(spark, db, monkeypatch):
+    t = f"{db}.t"
+    put = lambda df: versions.upsert_versioned(spark, t, df, ["id"], ["x"], BY_RANGE, remember=("x",))
+    put(make(spark, 0, 10, 1))
+    with monkeypatch.context() as m:
+        m.setattr(versions, "_switch", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            put(make(spark, 0, 1, 5))
+    assert put(make(spark, 0, 1, 5)) == 3
+    assert sorted(map(tuple, versions.changes(spark, t, 1, ("id", "x"), ("x",)).collect())) == [(0, 1, -1), (0, 5, 1)]
 
 
 def test_removed_partitions_are_told_and_gone(spark, db):

@@ -19,6 +19,7 @@ version wrote it) below the table's folder, which ``attach`` reads when a new se
 
 from __future__ import annotations
 
+import json
 import time
 import urllib.parse
 import uuid
@@ -30,22 +31,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.operators.upsert import CHANGE, KEPT, upsert, was
+from tillstar.operators.upsert import CHANGE, KEPT, UPDATED, upsert, was
 from tillstar.session import delete_folder, list_folders, reliable_checkpoint
 
 PROPERTY = "tillstar.version"
 MANIFEST = T.StructType([T.StructField("spec", T.StringType()), T.StructField("folder", T.StringType()), T.StructField("fresh", T.BooleanType()),
-                         T.StructField("kind", T.StringType()), T.StructField("columns", T.StringType()), T.StructField("written_at", T.DoubleType())])
+                         T.StructField("kind", T.StringType()), T.StructField("columns", T.StringType()), T.StructField("written_at", T.DoubleType()),
+                         T.StructField("follows", T.StringType()), T.StructField("base", T.IntegerType())])
 # Partitions that one ALTER TABLE statement adds.
 PER_STATEMENT = 500
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How a table is stored. ``partition_by`` must be functions of the key, never NULL."""
+    """How a table is stored. ``partition_by`` must be functions of the key, never NULL; readers do not see ``hidden``."""
     partition_by: tuple[str, ...] = ()
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
+    hidden: tuple[str, ...] = ()
 
 
 def version_table(table: str, version: int) -> str:
@@ -139,19 +142,28 @@ def _define(spark: SparkSession, table: str, version: int, columns: str, layout:
         spark.sql(f"ALTER TABLE {name} ADD " + " ".join(f"{_partition_sql(s)} LOCATION '{_quoted(parts[s])}'" for s in specs[at:at + PER_STATEMENT]))
 
 
-def _switch(spark: SparkSession, table: str, version: int) -> None:
+def _switch(spark: SparkSession, table: str, version: int, hidden: Sequence[str] = ()) -> None:
     """The one step that makes a version visible."""
-    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{PROPERTY}' = '{version}') AS SELECT * FROM {version_table(table, version)}")
+    shown = ", ".join(f"`{c}`" for c in spark.table(version_table(table, version)).columns if c not in hidden)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{PROPERTY}' = '{version}') AS SELECT {shown} FROM {version_table(table, version)}")
 
 
-def _publish(spark: SparkSession, table: str, version: int, columns: str, layout: Layout, parts: dict[str, str], fresh: set[str], kind: str) -> None:
-    rows = [(spec, folder, spec in fresh, kind, columns, time.time()) for spec, folder in parts.items()]
-    rows += [(spec, None, True, kind, columns, time.time()) for spec in fresh - set(parts)]      # partitions that are gone
-    rows = rows or [(None, None, False, kind, columns, time.time())]
+def _publish(spark: SparkSession, table: str, version: int, columns: str, layout: Layout, parts: dict[str, str], fresh: set[str], kind: str,
+             follows: dict[str, int] | None = None) -> None:
+    rest = (kind, columns, time.time(), json.dumps(follows or {}, sort_keys=True), current(spark, table))
+    rows = [(spec, folder, spec in fresh, *rest) for spec, folder in parts.items()]
+    rows += [(spec, None, True, *rest) for spec in fresh - set(parts)]      # partitions that are gone
+    rows = rows or [(None, None, False, *rest)]
     (spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists")
      .parquet(f"{root(spark, table)}/versions/v={version:06d}"))
     _define(spark, table, version, columns, layout, parts)
-    _switch(spark, table, version)
+    _switch(spark, table, version, layout.hidden)
+
+
+def followed(spark: SparkSession, table: str) -> dict[str, int]:
+    """The versions of other tables that the current version of a derived table takes account of."""
+    now = current(spark, table)
+    return json.loads(manifest(spark, table, now)[0]["follows"] or "{}") if now else {}
 
 
 def _next(spark: SparkSession, table: str) -> int:
@@ -166,18 +178,22 @@ def _columns(schema: T.StructType, declared: str | None) -> str:
     return declared or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def replace(spark: SparkSession, table: str, df: DataFrame, layout: Layout = Layout(), declared: str | None = None) -> int:
-    """K1: a new version with the rows of ``df`` only. Returns its number. ``declared``: column list of the DDL."""
+def replace(spark: SparkSession, table: str, df: DataFrame, layout: Layout = Layout(), declared: str | None = None,
+            follows: dict[str, int] | None = None) -> int:
+    """K1: a new version with the rows of ``df`` only. Returns its number. ``declared``: column list of the DDL;
+    ``follows``: what ``followed`` tells later, switched in with the rows."""
     version = _next(spark, table)
+    old = _parts(spark, table, current(spark, table)) if current(spark, table) else {}
     if layout.buckets:
         df = df.repartition(layout.buckets, *layout.bucket_by)
     folder, specs = _write(df, table, version, layout)
     parts = {s: f"{folder}/{s}".rstrip("/") for s in specs}
-    _publish(spark, table, version, _columns(df.schema, declared), layout, parts, set(parts), "replace")
+    _publish(spark, table, version, _columns(df.schema, declared), layout, parts, set(parts) | set(old), "replace", follows)
     return version
 
 
-def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: Callable[[DataFrame], DataFrame], layout: Layout, kind: str = "rewrite") -> int:
+def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: Callable[[DataFrame], DataFrame], layout: Layout, kind: str = "rewrite",
+            follows: dict[str, int] | None = None) -> int:
     """A new version in which the partitions named by the rows of ``touched`` (partition columns; None: all) hold what
     ``merge`` makes of their old rows. The other partitions keep their files. ``touched`` is read as one row a partition."""
     version, now = _next(spark, table), current(spark, table)
@@ -190,6 +206,9 @@ def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: C
         if any(v is None for r in rows for v in r):
             raise ValueError(f"{table}: NULL partition value")
         if not rows:
+            if follows is not None and follows != followed(spark, table):
+                _publish(spark, table, version, _columns(schema, None), layout, parts, set(), kind, follows)
+                return version
             return now
         old = {_spec(layout.partition_by, r) for r in rows}
         target = target.where(_any_of(layout.partition_by, rows))
@@ -197,7 +216,7 @@ def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: C
     folder, specs = _write(merged, table, version, layout)
     written = {s: f"{folder}/{s}".rstrip("/") for s in specs}
     kept = {s: f for s, f in parts.items() if s not in old and s not in written}
-    _publish(spark, table, version, _columns(schema, None), layout, kept | written, set(written) | (old & set(parts)), kind)
+    _publish(spark, table, version, _columns(schema, None), layout, kept | written, set(written) | (old & set(parts)), kind, follows)
     return version
 
 
@@ -216,7 +235,8 @@ def _any_of(columns: Sequence[str], rows) -> Column:
 
 
 def upsert_versioned(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                     layout: Layout = Layout(), remember: Sequence[str] = (), whole: bool = False) -> int:
+                     layout: Layout = Layout(), remember: Sequence[str] = (), whole: bool = False,
+                     follows: dict[str, int] | None = None) -> int:
     """K3, all or nothing: the partitions that ``source`` touches are merged and written anew, the rest is kept.
 
     ``whole``: the source is known to touch every partition, so it is not read once before to see which. A source
@@ -230,18 +250,19 @@ def upsert_versioned(spark: SparkSession, table: str, source: DataFrame, keys: S
             merged = merged.repartition(layout.buckets, *layout.bucket_by)
         folder, specs = _write(merged, table, version, layout)
         parts = {s: f"{folder}/{s}".rstrip("/") for s in specs}
-        _publish(spark, table, version, _columns(source.schema, None), layout, parts, set(parts), "upsert" if remember else "replace")
+        _publish(spark, table, version, _columns(source.schema, None), layout, parts, set(parts), "upsert" if remember else "replace", follows)
         return version
     batch = source if whole or not layout.partition_by else reliable_checkpoint(source)
     return rewrite(spark, table, None if whole else batch, lambda target: upsert(target, batch, keys, update_cols, remember), layout,
-                   "upsert" if remember else "rewrite")
+                   "upsert" if remember else "rewrite", follows)
 
 
-def replace_partitions(spark: SparkSession, table: str, df: DataFrame, touched: DataFrame | None, layout: Layout) -> int:
-    """The partitions named by ``touched`` hold the rows of ``df`` and nothing else (a partition without rows goes)."""
+def replace_partitions(spark: SparkSession, table: str, df: DataFrame, touched: DataFrame | None, layout: Layout,
+                       follows: dict[str, int] | None = None) -> int:
+    """The partitions named by ``touched`` (None: all) hold the rows of ``df`` and nothing else (one without rows goes)."""
     if not current(spark, table):
-        return replace(spark, table, df, layout)
-    return rewrite(spark, table, touched, lambda target: df.select(*target.columns), layout)
+        return replace(spark, table, df, layout, follows=follows)
+    return rewrite(spark, table, touched, lambda target: df.select(*target.columns), layout, follows=follows)
 
 
 def append_once(spark: SparkSession, table: str, df: DataFrame, batch_id: str) -> bool:
@@ -264,35 +285,49 @@ def append_once(spark: SparkSession, table: str, df: DataFrame, batch_id: str) -
     return True
 
 
-def fresh(spark: SparkSession, table: str, after: int) -> tuple[set[str], bool]:
-    """Partitions (``a=1/b=2``) that versions after ``after`` wrote or removed, and whether each of those versions
-    tells what it changed row by row (``remember``)."""
-    specs: set[str] = set()
-    told = True
-    for version in range(after + 1, current(spark, table) + 1):
-        rows = manifest(spark, table, version) if version in stored_versions(spark, table) else None
-        if rows is None:
-            return specs, False
-        specs |= {r["spec"] for r in rows if r["fresh"]}
-        told = told and all(r["kind"] == "upsert" for r in rows)
-    return specs, told
-
-
-def changes(spark: SparkSession, table: str, after: int, remember: Sequence[str]) -> DataFrame:
-    """(``remember`` columns, ``sign``): rows that versions after ``after`` took out (-1) and put in (+1).
-
-    Read from the files those versions wrote, and only rows that an upsert named."""
-    out = spark.createDataFrame([], T.StructType([read(spark, table).schema[c] for c in remember] + [T.StructField("sign", T.IntegerType(), False)]))
-    for version in range(after + 1, current(spark, table) + 1):
-        rows = [r for r in manifest(spark, table, version) if r["fresh"] and r["folder"]]
-        for folder in sorted({_data_folder(r["folder"], r["spec"]) for r in rows}):
+def since(spark: SparkSession, table: str, after: int) -> list[list] | None:
+    """Manifests of the versions that led from ``after`` to the current one, oldest first; None if they are not all
+    kept. A version that was lost before its switch led to none and is not among them."""
+    out, version, kept = [], current(spark, table), set(stored_versions(spark, table))
+    while version > after:
+        if version not in kept:
+            return None
+        out.append(manifest(spark, table, version))
+        version = out[-1][0]["base"]
+    return out[::-1] if version == after else None
+
+
+def fresh(spark: SparkSession, table: str, after: int) -> tuple[set[str] | None, bool]:
+    """Partitions (``a=1/b=2``) that versions after ``after`` wrote or removed (None: their manifests are gone), and
+    whether each of those versions tells what it changed row by row (``remember``)."""
+    steps = since(spark, table, after)
+    if steps is None:
+        return None, False
+    return {r["spec"] for rows in steps for r in rows if r["fresh"]}, all(r["kind"] == "upsert" for rows in steps for r in rows)
+
+
+def changes(spark: SparkSession, table: str, after: int, columns: Sequence[str], remember: Sequence[str]) -> DataFrame:
+    """(``columns``, ``sign``): rows that versions after ``after`` took out (-1) and put in (+1).
+
+    Read from the files those versions wrote, and only rows that an upsert named. ``remember`` columns have their
+    old values in rows taken out; the other columns are those of the key, which never change."""
+    schema = read(spark, table).schema
+    out = spark.createDataFrame([], T.StructType([schema[c] for c in columns] + [T.StructField("sign", T.IntegerType(), False)]))
+    for rows in since(spark, table, after) or []:
+        for folder in sorted({_data_folder(r["folder"], r["spec"]) for r in rows if r["fresh"] and r["folder"]}):
             told = spark.read.parquet(folder).where(F.col(CHANGE) != KEPT)
-            new = told.select(*remember, F.lit(1).alias("sign"))
-            old = told.where(f"{CHANGE} = 2").select(*[F.col(was(c)).alias(c) for c in remember], F.lit(-1).alias("sign"))
+            new = told.select(*columns, F.lit(1).alias("sign"))
+            old = told.where(F.col(CHANGE) == UPDATED).select(*[F.col(was(c) if c in remember else c).alias(c) for c in columns], F.lit(-1).alias("sign"))
             out = out.unionByName(new).unionByName(old)
     return out
 
 
+def changed_keys(spark: SparkSession, table: str, after: int, keys: Sequence[str], remember: Sequence[str]) -> DataFrame:
+    """Keys of rows that versions after ``after`` inserted, or updated in one of the ``remember`` columns."""
+    same = changes(spark, table, after, [*keys, *remember], remember).groupBy(*keys, *remember).agg(F.sum("sign").alias("net"))
+    return same.where("net != 0").select(*keys).distinct()
+
+
 def _data_folder(folder: str, spec: str) -> str:
     return folder[: -len(spec) - 1] if spec else folder
 
@@ -304,7 +339,7 @@ def attach(spark: SparkSession, table: str, layout: Layout = Layout()) -> int:
         return current(spark, table)
     rows = manifest(spark, table, versions[-1])
     _define(spark, table, versions[-1], rows[0]["columns"], layout, {r["spec"]: r["folder"] for r in rows if r["folder"] is not None})
-    _switch(spark, table, versions[-1])
+    _switch(spark, table, versions[-1], layout.hidden)
     return versions[-1]
 
 
