@@ -2,14 +2,15 @@
 
   python -m tillstar all    --sources sources.json --raw-db raw     (ingest, star and dbo in one session)
   python -m tillstar ingest --sources sources.json --raw-db raw
+  python -m tillstar batch  --sources new.json --raw-db raw          (new and changed rows into a built warehouse)
   python -m tillstar star   --raw-db raw [--dim-db dimensional] [--pres-db presentation] [--append-marts]
   python -m tillstar dbo    --raw-db raw [--dbo-db dbo]
   python -m tillstar quality [--dim-db dimensional] [--pres-db presentation] [--quality-db quality]
   python -m tillstar stream --name login_attemps --format json_records --folder IN --table raw.login_attemps
                             --checkpoint CKPT [--continuous]
 
-Separate commands share tables through the session catalog, so they need the cluster's persistent
-metastore; with Spark's in-memory catalog use ``all``.
+Separate commands share tables through the session catalog: the cluster's persistent metastore. ``batch`` also
+finds the tables by their files, if the warehouse folder is the same and the catalog is empty.
 
 ``sources.json``: a list of {"name": raw table, "format": csv | json_columns | json_records | avro |
 parquet, "paths": [files in read order], "options": {...}}.
@@ -23,9 +24,10 @@ import json
 from pyspark.sql import SparkSession
 
 from tillstar import schemas
+from tillstar.operators.clean import clean
 from tillstar.plans import warehouse
 from tillstar.session import scratch_root
-from tillstar.sources.spec import SourceSpec
+from tillstar.sources.spec import SourceSpec, read_source
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -34,6 +36,11 @@ def main(argv: list[str] | None = None) -> None:
     a = sub.add_parser("ingest")
     a.add_argument("--sources", required=True)
     a.add_argument("--raw-db", required=True)
+    n = sub.add_parser("batch")
+    n.add_argument("--sources", required=True)
+    n.add_argument("--raw-db", required=True)
+    n.add_argument("--dim-db", default=schemas.D)
+    n.add_argument("--pres-db", default=schemas.P)
     e = sub.add_parser("all")
     e.add_argument("--sources", required=True)
     e.add_argument("--raw-db", required=True)
@@ -58,9 +65,13 @@ def main(argv: list[str] | None = None) -> None:
     # the session as launched (spark-submit --conf wins); AQE, skew join and ANSI are Spark 4 defaults
     spark = SparkSession.builder.appName(f"tillstar-{args.cmd}").getOrCreate()
     scratch_root(spark)
-    if args.cmd in ("ingest", "all"):
+    if args.cmd in ("ingest", "all", "batch"):
         with open(args.sources) as f:
             specs = [SourceSpec(s["name"], s["format"], tuple(s["paths"]), s.get("options", {})) for s in json.load(f)]
+    if args.cmd == "batch":
+        rows = {s.name: clean(s.name, read_source(spark, s)) for s in specs}
+        warehouse.build_batch(spark, rows, args.raw_db, args.dim_db, args.pres_db)
+    elif args.cmd in ("ingest", "all"):
         warehouse.ingest(spark, specs, args.raw_db)
         if args.cmd == "all":
             warehouse.build_star(spark, args.raw_db)

@@ -20,24 +20,21 @@ version wrote it) below the table's folder, which ``attach`` reads when a new se
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.parse
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.operators.upsert import CHANGE, KEPT, UPDATED, upsert, was
-from tillstar.session import delete_folder, list_folders, reliable_checkpoint
+from tillstar.session import delete_folder, list_files, list_folders, read_small_file, reliable_checkpoint, write_small_file
 
 PROPERTY = "tillstar.version"
-MANIFEST = T.StructType([T.StructField("spec", T.StringType()), T.StructField("folder", T.StringType()), T.StructField("fresh", T.BooleanType()),
-                         T.StructField("kind", T.StringType()), T.StructField("columns", T.StringType()), T.StructField("written_at", T.DoubleType()),
-                         T.StructField("follows", T.StringType()), T.StructField("base", T.IntegerType())])
 # Partitions that one ALTER TABLE statement adds.
 PER_STATEMENT = 500
 
@@ -70,18 +67,28 @@ def root(spark: SparkSession, table: str) -> str:
     return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{name}__store"
 
 
-def manifest(spark: SparkSession, table: str, version: int) -> list:
-    """One row a partition of the version: bounded by the number of partitions."""
-    return spark.read.schema(MANIFEST).parquet(f"{root(spark, table)}/versions/v={version:06d}").collect()
+# Manifests read so far, by path: they never change once complete.
+_manifests: dict[str, list[dict]] = {}
+
+
+def _manifest_path(spark: SparkSession, table: str, version: int) -> str:
+    return f"{root(spark, table)}/versions/v{version:06d}.json"
+
+
+def manifest(spark: SparkSession, table: str, version: int) -> list[dict]:
+    """One row a partition of the version (spec, folder, fresh, ...): bounded by the number of partitions."""
+    path = _manifest_path(spark, table, version)
+    if path not in _manifests:
+        if len(_manifests) >= 1000:
+            _manifests.clear()
+        _manifests[path] = [json.loads(line) for line in read_small_file(spark, path).splitlines()]
+    return _manifests[path]
 
 
 def stored_versions(spark: SparkSession, table: str) -> list[int]:
-    """Versions whose manifest is complete, whether a catalog knows them or not."""
-    try:
-        found = spark.read.schema(f"{MANIFEST.toDDL()}, v int").parquet(f"{root(spark, table)}/versions")
-        return sorted(r["v"] for r in found.select("v").distinct().collect())
-    except AnalysisException:                   # no folder yet
-        return []
+    """Versions whose manifest is there, whether a catalog knows them or not."""
+    names = list_files(spark, f"{root(spark, table)}/versions")
+    return sorted(int(n[1:7]) for n in names if re.fullmatch(r"v\d{6}\.json", n))
 
 
 def read(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
@@ -150,12 +157,11 @@ def _switch(spark: SparkSession, table: str, version: int, hidden: Sequence[str]
 
 def _publish(spark: SparkSession, table: str, version: int, columns: str, layout: Layout, parts: dict[str, str], fresh: set[str], kind: str,
              follows: dict[str, int] | None = None) -> None:
-    rest = (kind, columns, time.time(), json.dumps(follows or {}, sort_keys=True), current(spark, table))
-    rows = [(spec, folder, spec in fresh, *rest) for spec, folder in parts.items()]
-    rows += [(spec, None, True, *rest) for spec in fresh - set(parts)]      # partitions that are gone
-    rows = rows or [(None, None, False, *rest)]
-    (spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists")
-     .parquet(f"{root(spark, table)}/versions/v={version:06d}"))
+    rest = {"kind": kind, "columns": columns, "written_at": time.time(), "follows": follows or {}, "base": current(spark, table)}
+    rows = [{"spec": spec, "folder": folder, "fresh": spec in fresh, **rest} for spec, folder in parts.items()]
+    rows += [{"spec": spec, "folder": None, "fresh": True, **rest} for spec in fresh - set(parts)]      # partitions that are gone
+    rows = rows or [{"spec": None, "folder": None, "fresh": False, **rest}]
+    write_small_file(spark, _manifest_path(spark, table, version), "\n".join(json.dumps(r) for r in rows))
     _define(spark, table, version, columns, layout, parts)
     _switch(spark, table, version, layout.hidden)
 
@@ -163,7 +169,7 @@ def _publish(spark: SparkSession, table: str, version: int, columns: str, layout
 def followed(spark: SparkSession, table: str) -> dict[str, int]:
     """The versions of other tables that the current version of a derived table takes account of."""
     now = current(spark, table)
-    return json.loads(manifest(spark, table, now)[0]["follows"] or "{}") if now else {}
+    return manifest(spark, table, now)[0]["follows"] if now else {}
 
 
 def _next(spark: SparkSession, table: str) -> int:
@@ -211,7 +217,7 @@ def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: C
                 return version
             return now
         old = {_spec(layout.partition_by, r) for r in rows}
-        target = target.where(_any_of(layout.partition_by, rows))
+        target = target.where(any_of(layout.partition_by, rows))
     merged = merge(target)
     folder, specs = _write(merged, table, version, layout)
     written = {s: f"{folder}/{s}".rstrip("/") for s in specs}
@@ -220,7 +226,7 @@ def rewrite(spark: SparkSession, table: str, touched: DataFrame | None, merge: C
     return version
 
 
-def _any_of(columns: Sequence[str], rows) -> Column:
+def any_of(columns: Sequence[str], rows) -> Column:
     """A predicate on partition columns that the scan prunes by: the last column's values listed for each of the others."""
     groups: dict[tuple, list] = {}
     for r in rows:
@@ -285,7 +291,7 @@ def append_once(spark: SparkSession, table: str, df: DataFrame, batch_id: str) -
     return True
 
 
-def since(spark: SparkSession, table: str, after: int) -> list[list] | None:
+def since(spark: SparkSession, table: str, after: int) -> list[list[dict]] | None:
     """Manifests of the versions that led from ``after`` to the current one, oldest first; None if they are not all
     kept. A version that was lost before its switch led to none and is not among them."""
     out, version, kept = [], current(spark, table), set(stored_versions(spark, table))
@@ -358,7 +364,8 @@ def vacuum(spark: SparkSession, table: str, keep: int = 2, older_than_seconds: f
     used = {_data_folder(r["folder"], r["spec"]).rsplit("/", 1)[1] for v, rows in manifests.items() if v not in old for r in rows if r["folder"]}
     for v in old:
         spark.sql(f"DROP TABLE IF EXISTS {version_table(table, v)}")
-        delete_folder(spark, f"{root(spark, table)}/versions/v={v:06d}")
+        delete_folder(spark, _manifest_path(spark, table, v))
+        _manifests.pop(_manifest_path(spark, table, v), None)
     for name, changed in list_folders(spark, f"{root(spark, table)}/data"):
         if name not in used and long_ago(changed):
             delete_folder(spark, f"{root(spark, table)}/data/{name}")

@@ -68,9 +68,13 @@ def _products_by_id(products: DataFrame) -> DataFrame:
 
 def product_performance(products: DataFrame, fact: DataFrame) -> DataFrame:
     """M2, keyed: ``products ⟕ fact ON fact.product_key = products.id GROUP BY products.id``."""
+    return performance_of(products, sales_by_product(fact))
+
+
+def performance_of(products: DataFrame, sales: DataFrame) -> DataFrame:
+    """M2 from sums (product_key, amount, revenue_dec)."""
     p = _products_by_id(products)
-    s = sales_by_product(fact)
-    j = p.join(s, p["id"] == s["product_key"], "left")
+    j = p.join(sales, p["id"] == sales["product_key"], "left")
     return j.select(F.col("id").alias("product_key"), "name",
                     (F.col("amount") * F.col("_rows")).cast("double").alias("count_of_sales"),
                     (F.col("revenue_dec") * F.col("_rows")).cast("double").alias("total_revenue"))
@@ -94,15 +98,19 @@ def category_performance(dim_product_categories: DataFrame, dim_products: DataFr
     """M3: ``categories ⟕ products ⟕ fact GROUP BY category ORDER BY total_revenue DESC,
     count_of_sales DESC`` (NULLs first under DESC, as in the warehouse). Categories without
     sales stay, with NULL sums."""
-    s = sales_by_product(fact)
+    return category_performance_of(dim_product_categories, dim_products, sales_by_product(fact)).orderBy(
+        F.col("total_revenue").desc_nulls_first(), F.col("count_of_sales").desc_nulls_first())
+
+
+def category_performance_of(dim_product_categories: DataFrame, dim_products: DataFrame, sales: DataFrame) -> DataFrame:
+    """M3, unordered, from sums (product_key, amount, revenue_dec)."""
     prod = dim_products.select("products_key", "product_categories_key")
-    per_cat = (prod.join(s, prod["products_key"] == s["product_key"], "left")
+    per_cat = (prod.join(sales, prod["products_key"] == sales["product_key"], "left")
                .groupBy("product_categories_key")
                .agg(F.sum("amount").alias("amount"), F.sum("revenue_dec").alias("revenue_dec")))
     cats = dim_product_categories.groupBy("product_categories_key").agg(F.max("name").alias("name"),
                                                                         F.count(F.lit(1)).alias("_rows"))
     j = cats.join(per_cat, "product_categories_key", "left")
-    out = j.select(F.col("product_categories_key").alias("category_key"), "name",
+    return j.select(F.col("product_categories_key").alias("category_key"), "name",
                    (F.col("amount") * F.col("_rows")).cast("double").alias("count_of_sales"),
                    (F.col("revenue_dec") * F.col("_rows")).cast("double").alias("total_revenue"))
-    return out.orderBy(F.col("total_revenue").desc_nulls_first(), F.col("count_of_sales").desc_nulls_first())

@@ -48,7 +48,12 @@ def daily_product_sales(fact: DataFrame, dim_date: DataFrame, dim_products: Data
     (date_key, date, amount, revenue_dec, products_key, product_name, product_categories_key,
     suppliers_key). The fact is aggregated and joined to products once; the marts are then
     aggregations of this table (and small name lookups), not four more passes over the fact."""
-    per = _per_day(fact, "product_key").join(_days(dim_date), "date_key")
+    return with_products(_per_day(fact, "product_key"), dim_date, dim_products)
+
+
+def with_products(per_day: DataFrame, dim_date: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Sums by (date_key, product_key) with their day and the columns of their product."""
+    per = per_day.join(_days(dim_date), "date_key")
     p = dim_products.select("products_key", F.col("name").alias("product_name"),
                             "product_categories_key", "suppliers_key")
     return per.join(p, per["product_key"] == p["products_key"], "left").drop("product_key")

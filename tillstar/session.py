@@ -85,6 +85,35 @@ def list_folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(folder) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isFile()] if fs.exists(folder) else []
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new file of driver metadata: written beside its name and renamed, so it is there whole or not at all."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final, part = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex[:8]}.part")
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(part, final):
+        raise FileExistsError(path)
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` into the shared checkpoint folder (set from the session first):
     materialised once, survives executor loss, and cuts the lineage. Never ``localCheckpoint``."""
