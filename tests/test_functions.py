@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.dates import calendar_columns
 from tillstar.functions.keys import dense_rank_ids
-from tillstar.functions.money import as_money, discounted_dec, line_total_dec, money_sum
+from tillstar.functions.money import discounted, line_total, money_sum
 from tillstar.functions.text import full_name
 from tillstar.plans.dims import dim_date
 
@@ -33,8 +33,8 @@ def test_dim_date_is_by_day(spark):
 def test_fixed_total(spark):
     df = spark.createDataFrame([(2, None, 10.0), (3, 19.99, None), (4, 2.5, 100.0), (3, 0.1, 10.0)],
                                "amount bigint, price double, disc double")
-    out = df.select(as_money(line_total_dec(F.col("amount"), F.col("price"))).alias("t"),
-                    as_money(discounted_dec(F.col("amount"), F.col("price"), F.col("disc"))).alias("f")).collect()
+    out = df.select(line_total(F.col("amount"), F.col("price")).alias("t"),
+                    discounted(F.col("amount"), F.col("price"), F.col("disc")).alias("f")).collect()
     assert out[0].t is None and out[0].f is None          # price NULL -> NULL
     assert out[1].t == out[1].f == 59.97                  # no coupon -> total
     assert out[2].t == 10.0 and out[2].f == 0.0            # 100 % coupon -> 0

@@ -1,9 +1,12 @@
 """Money arithmetic.
 
-The source system keeps prices and totals in DOUBLE and sums doubles, so a sum depends on
-the order rows arrive in. Here every money expression is computed in exact decimals and
-only the stored column is DOUBLE; sums re-read the stored double as an exact decimal.
-Prices and percentages may carry four decimals; one with more fails the job.
+The source system keeps prices and totals in DOUBLE and multiplies and sums doubles, so its results depend on binary noise
+and on the order rows arrive in. Here a price counts as the number it is written as (the shortest decimal form of
+the double: 0.30000000000000004 is just that), products are exact decimals, and only the stored column is
+DOUBLE. Sums read the stored doubles back as decimals, so they do not depend on order or partitioning.
+
+A line with amount and price below ten million keeps 17 decimals of the price; larger ones keep ten, which is beyond
+what a double of that size holds. Nothing is rejected for having many decimals.
 """
 
 from __future__ import annotations
@@ -11,44 +14,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed decimal shapes (also used, spelled out, by the SQL oracle).
-PRICE = "decimal(14,4)"     # unit price
-QTY = "decimal(12,0)"       # whole quantity
-PCT = "decimal(7,4)"        # 0.0000 .. 100.0000 percent kept
-LINE = "decimal(28,10)"     # one line's money value, exact
-
-
-def _exact(c: Column, shape: str, what: str) -> Column:
-    """``c`` in the decimal shape; a value with more decimals fails the job, it is never rounded."""
-    d = c.cast(shape)
-    return F.when(d.cast("double") != c.cast("double"), F.raise_error(F.concat(F.lit(f"{what} has too many decimals: "), c.cast("string"))).cast(shape)).otherwise(d)
-
-
-def _cent() -> Column:
-    return F.lit(0.01).cast("decimal(2,2)")
+# Decimal shapes: (amount, price) of ordinary and of large lines, share kept after the discount, one stored line.
+ORDINARY = ("decimal(7,0)", "decimal(24,17)")
+LARGE = ("decimal(12,0)", "decimal(24,10)")
+BELOW = 10_000_000
+PCT = "decimal(11,8)"
+KEEP = "decimal(11,10)"
+LINE = "decimal(30,16)"
 
 
-def line_total_dec(amount: Column, price: Column) -> Column:
-    """amount * price, exact."""
-    return _exact(amount, QTY, "quantity") * _exact(price, PRICE, "price")
+def _line(amount: Column, price: Column, value) -> Column:
+    """``value`` of the two as decimals, as DOUBLE: in the ordinary shapes where they fit."""
+    small = (F.abs(amount) < BELOW) & (F.abs(price) < BELOW)
+    narrow, wide = ([amount.cast(a), price.cast(p)] for a, p in (ORDINARY, LARGE))
+    return F.when(small, value(*narrow).cast("double")).when(amount.isNotNull() & price.isNotNull(), value(*wide).cast("double"))
 
 
-def discounted_dec(amount: Column, price: Column, discount_pct: Column) -> Column:
-    """total - total * coalesce(discount, 0) / 100, exact (F6 + F7)."""
-    keep = F.lit(100).cast(PCT) - F.coalesce(_exact(discount_pct, PCT, "discount"), F.lit(0).cast(PCT))
-    keep = keep.cast(PCT)
-    return line_total_dec(amount, price) * keep * _cent()
+def line_total(amount: Column, price: Column) -> Column:
+    """amount * price, exact, stored as DOUBLE."""
+    return _line(amount, price, lambda a, p: a * p)
 
 
-def as_money(dec: Column) -> Column:
-    """Exact decimal -> stored DOUBLE."""
-    return dec.cast("double")
+def discounted(amount: Column, price: Column, discount_pct: Column) -> Column:
+    """total - total * coalesce(discount, 0) / 100, exact, stored as DOUBLE (F6 + F7)."""
+    left = F.lit(100).cast(PCT) - F.coalesce(discount_pct.cast(PCT), F.lit(0).cast(PCT))
+    keep = (left.cast(PCT) * F.lit(0.01).cast("decimal(2,2)")).cast(KEEP)
+    return _line(amount, price, lambda a, p: a * p * keep)
 
 
 def money_sum_dec(col: Column | str) -> Column:
-    """Exact SUM of a stored money DOUBLE: each value is read back as ``decimal(28,10)`` first
-    (the double holds the exact value to far better than the scale up to about 800,000), so the sum does not depend on
-    row order or partitioning."""
+    """Exact SUM of a stored money DOUBLE: each value is read back as ``decimal(30,16)`` first."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast(LINE))
 
@@ -56,3 +51,15 @@ def money_sum_dec(col: Column | str) -> Column:
 def money_sum(col: Column | str) -> Column:
     """``money_sum_dec`` as the stored DOUBLE."""
     return money_sum_dec(col).cast("double")
+
+
+def repeated(dec: Column, rows: Column) -> Column:
+    """An exact sum times a row count, as DOUBLE. One row, the usual case, keeps all decimals of the sum; the product of
+    decimals would keep fewer."""
+    return F.when(rows == 1, dec.cast("double")).otherwise((dec * rows).cast("double"))
+
+
+def money_text(col: Column | str) -> Column:
+    """A stored amount as the TEXT that the marts declare (P3): two decimals, never in scientific notation."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("decimal(18,2)").cast("string")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.upsert import upsert
-from tillstar.schemas import SPECS
+from tillstar.schemas import SPECS, TableSpec, ddl
 from tillstar.session import reliable_checkpoint
 
 
@@ -35,8 +35,8 @@ def conform(df: DataFrame, table: str, enforce: bool = True) -> DataFrame:
 
     With ``enforce``, the declared NOT NULL (and primary key) columns and VARCHAR(n) lengths are
     checked row by row and a violation fails the job, as the table's DDL rejects the statement
-    (a codegen'd ``raise_error``, no extra pass). DECIMAL ranges are reported by C5 instead: the
-    values are stored as DOUBLE."""
+    (a codegen'd ``raise_error``, no extra pass). A declared DECIMAL(p,s) column is rounded to its scale and a value
+    beyond its range fails; it is stored as DOUBLE."""
     spec = SPECS.get(table)
     if spec is None:
         return df
@@ -48,12 +48,31 @@ def conform(df: DataFrame, table: str, enforce: bool = True) -> DataFrame:
             n = spec.max_length[f.name]
             c = F.when(F.length(c) > n, F.raise_error(F.lit(f"{table}.{f.name}: value longer than VARCHAR({n})"))
                        ).otherwise(c)
+        if enforce and f.name in spec.decimal:
+            kind = "decimal({},{})".format(*spec.decimal[f.name])
+            fits = F.col(f.name).try_cast(kind)
+            c = F.when(F.col(f.name).isNotNull() & fits.isNull(), F.raise_error(F.lit(f"{table}.{f.name}: value beyond {kind.upper()}"))
+                       .cast(f.dataType)).otherwise(fits.cast(f.dataType))
         if enforce and f.name in required:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"{table}.{f.name}: NULL in a NOT NULL column"))).otherwise(c)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
+def create_declared(spark: SparkSession, table: str, spec: TableSpec) -> None:
+    """K4: ``CREATE TABLE`` with the declared types. Spark's own write checks then reject texts longer than VARCHAR(n)
+    and numbers beyond DECIMAL(p,s). NOT NULL is not kept by Spark's file tables: ``insert_declared`` checks it."""
+    spark.sql(f"CREATE TABLE {table} ({ddl(spec)}) USING parquet")
+
+
+def insert_declared(df: DataFrame, table: str, spec: TableSpec) -> None:
+    """Rows into a declared table; all or none. NULLs in key and NOT NULL columns fail the job as the DDL would."""
+    required = set(spec.not_null) | set(spec.primary_key)
+    checked = [F.when(F.col(f.name).isNull(), F.raise_error(F.lit(f"{table}.{f.name}: NULL in a NOT NULL column")).cast(df.schema[f.name].dataType))
+               .otherwise(F.col(f.name)).alias(f.name) if f.name in required else F.col(f.name) for f in spec.schema.fields]
+    df.select(*checked).write.insertInto(table)
+
+
 def _for_partitioned_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one partition value brought together before a partitioned write, in files of
     about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: AQE splits a large partition value

@@ -34,18 +34,29 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     return keys.join(parents, column, "left_anti")
 
 
+def _pairs(named: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """(c, k): constraint and key, NULL keys left out; a frame that occurs several times is read once."""
+    frames: dict[int, tuple[DataFrame, list]] = {}
+    for df, name, col in named:
+        frames.setdefault(id(df), (df, []))[1].append((name, col))
+    parts = []
+    for df, keys in frames.values():
+        columns = list(dict.fromkeys(col for _, col in keys))
+        pairs = F.array(*[F.struct(F.lit(name).alias("c"), F.col(col).cast("bigint").alias("k")) for name, col in keys])
+        parts.append(df.select(*columns).select(F.inline(pairs)).where("k is not null"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def foreign_key_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key: (constraint_name, orphan_keys, orphan_rows).
 
-    Each key is an anti join of its own, on child keys counted first with partial aggregation, so a
-    small parent can be broadcast by AQE whatever the size of the others. Keys are compared as BIGINT."""
+    One pass over each child: it gives a (constraint, key) pair for each of its foreign keys, counted with partial
+    aggregation before the shuffle. Parents give such pairs likewise, and one anti join compares them all. Keys are
+    compared as BIGINT."""
     spark = checks[0][1].sparkSession
-    parts = []
-    for name, child, col, parent, pcol in checks:
-        keys = child.select(F.col(col).cast("bigint").alias("k"))
-        orphans = check_foreign_key(keys, "k", parent.select(F.col(pcol).cast("bigint").alias("k")), "k")
-        parts.append(orphans.select(F.lit(name).alias("c"), "n_rows"))
-    orphans = (reduce(DataFrame.unionByName, parts).groupBy("c")
+    children = [(child, name, col) for name, child, col, _, _ in checks]
+    parents = [(parent, name, pcol) for name, _, _, parent, pcol in checks]
+    orphans = (_pairs(children).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n_rows")).join(_pairs(parents).distinct(), ["c", "k"], "left_anti").groupBy("c")
                .agg(F.count(F.lit(1)).alias("orphan_keys"), F.sum("n_rows").alias("orphan_rows")))
     # one label row per check: bounded by the number of checks
     names = spark.createDataFrame([(c[0],) for c in checks], "c string")
@@ -115,6 +126,13 @@ def decimal_range_report(tables: Sequence[tuple[str, DataFrame, dict[str, tuple[
     return reduce(DataFrame.unionByName, parts)
 
 
+def enforce_primary_keys(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> None:
+    """Fail when a primary key is NULL or repeated, as a declared PRIMARY KEY rejects the statement."""
+    bad = [r for r in primary_key_report(tables).collect() if r.bad_keys]
+    if bad:
+        raise ValueError("primary key violation: " + ", ".join(f"{r.table_name}: {r.bad_rows} rows / {r.bad_keys} keys" for r in bad))
+
+
 def primary_key_report(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """C1 report: (table_name, bad_keys, bad_rows): keys occurring more than once or with NULL."""
     parts = []

@@ -72,3 +72,32 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
         out.append(F.when(in_s & in_t, F.lit(UPDATED)).when(in_s, F.lit(INSERTED)).otherwise(F.lit(KEPT)).alias(CHANGE))
         out += [F.when(in_s & in_t, F.col(f"t.{c}")).alias(was(c)) for c in remember]
     return j.select(*out)
+
+
+def merge_sql(table: str, source: str, columns: Sequence[str], keys: Sequence[str], update_cols: Sequence[str]) -> str:
+    """The upsert as a ``MERGE INTO`` command, for tables of a catalog that merges rows itself."""
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in update_cols)
+    matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if update_cols else ""
+    names, values = ", ".join(f"`{c}`" for c in columns), ", ".join(f"s.`{c}`" for c in columns)
+    return f"MERGE INTO {table} AS t USING {source} AS s ON {on}{matched} WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+
+
+def merges_rows(spark, table: str) -> bool:
+    """Whether Spark can plan row-level commands on ``table``: it belongs to a catalog other than the session's own
+    file tables, and that catalog's table accepts a MERGE (asked by EXPLAIN, which runs nothing)."""
+    if table.count(".") < 2 or table.split(".")[0] == "spark_catalog":
+        return False
+    columns = spark.table(table).columns
+    plan = spark.sql(f"EXPLAIN {merge_sql(table, f'(SELECT * FROM {table} WHERE false)', columns, columns[:1], [])}").first()[0]
+    return "UNSUPPORTED" not in plan and "Error occurred" not in plan
+
+
+def merge_into(source: DataFrame, table: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
+    """K3 by the catalog's own row-level writes. The source is checked first (C6), as the join form does."""
+    columns = [c for c in source.sparkSession.table(table).columns if c in source.columns]
+    checked = checked_source(source.select(*columns), keys).where("_s").drop("_s")
+    writer = checked.alias("s").mergeInto(table, F.expr(" AND ".join(f"{table}.`{k}` = s.`{k}`" for k in keys)))
+    if update_cols:
+        writer = writer.whenMatched().update({c: F.col(f"s.{c}") for c in update_cols})
+    writer.whenNotMatched().insert({c: F.col(f"s.{c}") for c in columns}).merge()

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.operators.upsert import CHANGE, KEPT, UPDATED, upsert, was
+from tillstar.operators.upsert import CHANGE, KEPT, UPDATED, merge_into, merges_rows, upsert, was
 from tillstar.session import delete_folder, list_files, list_folders, read_small_file, reliable_checkpoint, write_small_file
 
 PROPERTY = "tillstar.version"
@@ -243,10 +243,14 @@ def any_of(columns: Sequence[str], rows) -> Column:
 def upsert_versioned(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
                      layout: Layout = Layout(), remember: Sequence[str] = (), whole: bool = False,
                      follows: dict[str, int] | None = None) -> int:
-    """K3, all or nothing: the partitions that ``source`` touches are merged and written anew, the rest is kept.
+    """K3, all or nothing, in one interface: a table of a catalog that merges rows itself (``merges_rows``) gets a MERGE
+    command and gives version 0; all others are merged by a join. There, the partitions that ``source`` touches are merged and written anew, the rest is kept.
 
     ``whole``: the source is known to touch every partition, so it is not read once before to see which. A source
     with a duplicate or NULL key fails, as does a NULL partition value; nothing becomes visible then."""
+    if merges_rows(spark, table):
+        merge_into(source, table, keys, update_cols)
+        return 0
     for c in layout.partition_by:
         source = source.withColumn(c, F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}.{c}: NULL partition value")).cast(source.schema[c].dataType)))
     if not current(spark, table):
@@ -271,23 +275,24 @@ def replace_partitions(spark: SparkSession, table: str, df: DataFrame, touched:
     return rewrite(spark, table, touched, lambda target: df.select(*target.columns), layout, follows=follows)
 
 
+def has_batch(spark: SparkSession, table: str, batch_id: str) -> bool:
+    return _spec(("batch_id",), {"batch_id": batch_id}) in _parts(spark, table, current(spark, table))
+
+
 def append_once(spark: SparkSession, table: str, df: DataFrame, batch_id: str) -> bool:
     """K2 for a table without a key, exactly once: the rows are the partition ``batch_id`` of the table, which is also
     the ledger. A batch id that the table has adds nothing. Returns whether rows were added."""
-    layout = Layout(("batch_id",))
+    layout = Layout(("batch_id",), hidden=("batch_id",))
     rows = df.withColumn("batch_id", F.lit(batch_id))
     now = current(spark, table)
-    if not now:
-        replace(spark, table, rows, layout)
-        return True
-    if _spec(("batch_id",), {"batch_id": batch_id}) in _parts(spark, table, now):
+    if now and has_batch(spark, table, batch_id):
         return False
-    version, schema = _next(spark, table), read(spark, table).schema
+    version, schema = _next(spark, table), read(spark, table).schema if now else rows.schema
     folder, specs = _write(rows.select(*schema.fieldNames()), table, version, layout)
     if not specs:                               # an empty batch: note it all the same
         specs = [_spec(("batch_id",), {"batch_id": batch_id})]
     written = {s: f"{folder}/{s}" for s in specs}
-    _publish(spark, table, version, _columns(schema, None), layout, _parts(spark, table, now) | written, set(written), "append")
+    _publish(spark, table, version, _columns(schema, None), layout, (_parts(spark, table, now) if now else {}) | written, set(written), "append")
     return True
 
 
@@ -320,7 +325,7 @@ def changes(spark: SparkSession, table: str, after: int, columns: Sequence[str],
     schema = read(spark, table).schema
     out = spark.createDataFrame([], T.StructType([schema[c] for c in columns] + [T.StructField("sign", T.IntegerType(), False)]))
     for rows in since(spark, table, after) or []:
-        for folder in sorted({_data_folder(r["folder"], r["spec"]) for r in rows if r["fresh"] and r["folder"]}):
+        for folder in sorted({data_folder(r["folder"], r["spec"]) for r in rows if r["fresh"] and r["folder"]}):
             told = spark.read.parquet(folder).where(F.col(CHANGE) != KEPT)
             new = told.select(*columns, F.lit(1).alias("sign"))
             old = told.where(F.col(CHANGE) == UPDATED).select(*[F.col(was(c) if c in remember else c).alias(c) for c in columns], F.lit(-1).alias("sign"))
@@ -334,7 +339,7 @@ def changed_keys(spark: SparkSession, table: str, after: int, keys: Sequence[str
     return same.where("net != 0").select(*keys).distinct()
 
 
-def _data_folder(folder: str, spec: str) -> str:
+def data_folder(folder: str, spec: str) -> str:
     return folder[: -len(spec) - 1] if spec else folder
 
 
@@ -361,7 +366,7 @@ def vacuum(spark: SparkSession, table: str, keep: int = 2, older_than_seconds: f
     written = {v: min(r["written_at"] for r in rows) for v, rows in manifests.items()}
     superseded = {v: min((written[w] for w in versions if v < w <= now), default=time.time()) for v in versions}
     old = [v for v in versions if v <= now - keep and long_ago(superseded[v]) or v > now and long_ago(written[v])]
-    used = {_data_folder(r["folder"], r["spec"]).rsplit("/", 1)[1] for v, rows in manifests.items() if v not in old for r in rows if r["folder"]}
+    used = {data_folder(r["folder"], r["spec"]).rsplit("/", 1)[1] for v, rows in manifests.items() if v not in old for r in rows if r["folder"]}
     for v in old:
         spark.sql(f"DROP TABLE IF EXISTS {version_table(table, v)}")
         delete_folder(spark, _manifest_path(spark, table, v))

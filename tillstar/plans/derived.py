@@ -48,7 +48,7 @@ def signed_sums(lines: DataFrame, *keys: str) -> DataFrame:
         F.sum(sign).alias("n"), F.sum(F.when(F.col("amount").isNotNull(), sign).otherwise(0)).alias("n_amount"),
         F.sum(F.when(money.isNotNull(), sign).otherwise(0)).alias("n_revenue"),
         F.coalesce(F.sum(sign * F.col("amount")), F.lit(0)).alias("amount"),
-        F.coalesce(F.sum(F.when(F.col("sign") > 0, money).otherwise(-money)), F.lit(0)).cast("decimal(38,10)").alias("revenue"))
+        F.coalesce(F.sum(F.when(F.col("sign") > 0, money).otherwise(-money)), F.lit(0)).cast("decimal(38,16)").alias("revenue"))
 
 
 def _nothing_changed() -> Column:

@@ -8,11 +8,11 @@ row (see README for the one that is not built).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import date_key
-from tillstar.functions.money import PRICE, QTY
+from tillstar.functions.money import repeated
 
 
 def dim_customers(customer: DataFrame) -> DataFrame:
@@ -79,20 +79,26 @@ def sale_lines(dim_orders_erd: DataFrame, dim_order_items_erd: DataFrame, dim_pr
     return with_items.unionByName(cols(bare))
 
 
+def _revenue(qty: Column, price: Column) -> Column:
+    """qty * price, exact, as decimal(38,15): a price counts with 15 decimals, one of 100 million or more with six."""
+    large = (qty * price.cast("decimal(23,6)")).cast("decimal(38,15)")
+    return F.when(F.abs(price) < 100_000_000, qty * price.cast("decimal(23,15)")).otherwise(large)
+
+
 def _category_revenue(dim_product_categories_erd: DataFrame, dim_product_erd: DataFrame,
                       dim_order_items_erd: DataFrame, product_on: str) -> DataFrame:
     qty = (dim_order_items_erd.groupBy("product_id")
-           .agg(F.sum(F.col("amount").cast(QTY)).alias("qty")))
+           .agg(F.sum(F.col("amount").cast("decimal(12,0)")).cast("decimal(14,0)").alias("qty")))
     prod = dim_product_erd.select("product_key", F.col(product_on).alias("_cat"), "price")
     per_product = (prod.join(qty, prod["product_key"] == qty["product_id"], "left")
-                   .select("_cat", (F.col("price").cast(PRICE) * F.col("qty")).alias("rev")))
+                   .select("_cat", _revenue(F.col("qty"), F.col("price")).alias("rev")))
     per_cat = per_product.groupBy("_cat").agg(F.sum("rev").alias("rev"))
     cats = (dim_product_categories_erd.groupBy("product_categories_key", "name")
             .agg(F.count(F.lit(1)).alias("_rows")))
     j = cats.join(per_cat, cats["product_categories_key"] == per_cat["_cat"], "left")
     return j.select(F.col("product_categories_key").alias("category_performance_key"),
                     F.col("name").alias("product_categories_name"),
-                    (F.col("rev") * F.col("_rows")).cast("double").alias("total_revenue"))
+                    repeated(F.col("rev"), F.col("_rows")).alias("total_revenue"))
 
 
 def category_revenue(dim_product_categories_erd: DataFrame, dim_product_erd: DataFrame,

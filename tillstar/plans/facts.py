@@ -14,21 +14,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import date_key
-from tillstar.functions.money import as_money, discounted_dec, line_total_dec, money_sum_dec
+from tillstar.functions.money import discounted, line_total, money_sum_dec, repeated
 
 
 def fact_sales_orders(order_items: DataFrame, dim_products: DataFrame, dim_orders: DataFrame,
-                      dim_customers: DataFrame, dim_coupons: DataFrame) -> DataFrame:
-    """M1: one row per order item; every item is kept (left joins).
+                      dim_customers: DataFrame | None, dim_coupons: DataFrame) -> DataFrame:
+    """M1: one row per order item; every item is kept (left joins). Without ``dim_customers`` that join is left out
+    (customers_key is NULL): the marts and performance facts do not need it.
 
     The customer join only asks whether the order's customer exists, and its condition uses
     order columns only, so it is applied to orders before they meet the items:
     ``(items ⟕ orders) ⟕ customers = items ⟕ (orders ⟕ customers)``. That join then runs over
     orders, not over the (larger) items.
     """
-    cust = dim_customers.select(F.col("customers_key").alias("_ck"))
-    orders = (dim_orders.join(cust, dim_orders["customers_key"] == cust["_ck"], "left")
-              .select(F.col("order_key"), F.col("_ck").alias("customers_key"), "status", "created_at"))
+    if dim_customers is None:
+        orders = dim_orders.select("order_key", F.lit(None).cast("bigint").alias("customers_key"), "status", "created_at")
+    else:
+        cust = dim_customers.select(F.col("customers_key").alias("_ck"))
+        orders = (dim_orders.join(cust, dim_orders["customers_key"] == cust["_ck"], "left")
+                  .select(F.col("order_key"), F.col("_ck").alias("customers_key"), "status", "created_at"))
     prod = dim_products.select(F.col("products_key"), F.col("price"))
     coup = dim_coupons.select("coupon_key", "discount_percent")
 
@@ -45,9 +49,9 @@ def fact_sales_orders(order_items: DataFrame, dim_products: DataFrame, dim_order
         date_key(F.col("created_at")).alias("date_key"),
         F.col("amount").cast("bigint").alias("amount"),
         F.col("price").alias("price_per_unit"),
-        as_money(line_total_dec(F.col("amount"), F.col("price"))).alias("total"),
+        line_total(F.col("amount"), F.col("price")).alias("total"),
         F.col("discount_percent").alias("discount"),
-        as_money(discounted_dec(F.col("amount"), F.col("price"), F.col("discount_percent"))).alias("fixed_total"),
+        discounted(F.col("amount"), F.col("price"), F.col("discount_percent")).alias("fixed_total"),
         F.col("status"),
         F.col("created_at"),
     )
@@ -77,7 +81,7 @@ def performance_of(products: DataFrame, sales: DataFrame) -> DataFrame:
     j = p.join(sales, p["id"] == sales["product_key"], "left")
     return j.select(F.col("id").alias("product_key"), "name",
                     (F.col("amount") * F.col("_rows")).cast("double").alias("count_of_sales"),
-                    (F.col("revenue_dec") * F.col("_rows")).cast("double").alias("total_revenue"))
+                    repeated(F.col("revenue_dec"), F.col("_rows")).alias("total_revenue"))
 
 
 def product_performance_as_written(products: DataFrame, fact: DataFrame) -> DataFrame:
@@ -91,7 +95,7 @@ def product_performance_as_written(products: DataFrame, fact: DataFrame) -> Data
     p = _products_by_id(products)
     return p.select(F.col("id").alias("product_key"), "name",
                     (tot.select("amount").scalar() * F.col("_rows")).cast("double").alias("count_of_sales"),
-                    (tot.select("revenue_dec").scalar() * F.col("_rows")).cast("double").alias("total_revenue"))
+                    repeated(tot.select("revenue_dec").scalar(), F.col("_rows")).alias("total_revenue"))
 
 
 def category_performance(dim_product_categories: DataFrame, dim_products: DataFrame, fact: DataFrame) -> DataFrame:
@@ -113,4 +117,4 @@ def category_performance_of(dim_product_categories: DataFrame, dim_products: Dat
     j = cats.join(per_cat, "product_categories_key", "left")
     return j.select(F.col("product_categories_key").alias("category_key"), "name",
                    (F.col("amount") * F.col("_rows")).cast("double").alias("count_of_sales"),
-                   (F.col("revenue_dec") * F.col("_rows")).cast("double").alias("total_revenue"))
+                   repeated(F.col("revenue_dec"), F.col("_rows")).alias("total_revenue"))

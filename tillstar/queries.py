@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar import schemas
-from tillstar.operators import load, quality
+from tillstar.functions.money import money_text
+from tillstar.operators import footers, keysets, load, quality, versions
 from tillstar.operators.dedup import keep_last
-from tillstar.plans import dims, erd, facts, marts
+from tillstar.plans import dims, erd, facts, marts, warehouse
 from tillstar.session import new_scratch_dir
-from tillstar.sources import files
+from tillstar.sources import dirty, files
 from tillstar.sources.testdata import ITEM_VERSION, SourceTables
 
 
@@ -44,6 +45,12 @@ class Model:
         return facts.fact_sales_orders(self.raw["order_items"], d["dim_products"], d["dim_orders"],
                                        d["dim_customers"], d["dim_coupons"])
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        """The sales fact for marts and sums: without the customer join, which they do not need."""
+        d = self.star
+        return facts.fact_sales_orders(self.raw["order_items"], d["dim_products"], d["dim_orders"], None, d["dim_coupons"])
+
     @cached_property
     def erd(self) -> dict[str, DataFrame]:
         r = self.raw
@@ -84,41 +91,41 @@ def fact_sales_orders(spark, sf_dir):
 
 def product_performance(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return facts.product_performance(m.raw["products"], m.fact)
+    return facts.product_performance(m.raw["products"], m.sales)
 
 
 def product_performance_as_written(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return facts.product_performance_as_written(m.raw["products"], m.fact)
+    return facts.product_performance_as_written(m.raw["products"], m.sales)
 
 
 def category_performance(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return facts.category_performance(m.star["dim_product_categories"], m.star["dim_products"], m.fact)
+    return facts.category_performance(m.star["dim_product_categories"], m.star["dim_products"], m.sales)
 
 
 def daily_revenue(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return marts.daily_revenue(m.fact, m.star["dim_date"])
+    return marts.daily_revenue(m.sales, m.star["dim_date"])
 
 
 def daily_revenue_per_product(spark, sf_dir):
     m = Model(spark, sf_dir)
     d = m.star
-    return marts.daily_revenue_per_product(m.fact, d["dim_date"], d["dim_products"], d["dim_suppliers"],
+    return marts.daily_revenue_per_product(m.sales, d["dim_date"], d["dim_products"], d["dim_suppliers"],
                                            d["dim_product_categories"])
 
 
 def daily_revenue_per_category(spark, sf_dir):
     m = Model(spark, sf_dir)
     d = m.star
-    return marts.daily_revenue_per_category(m.fact, d["dim_date"], d["dim_products"], d["dim_product_categories"])
+    return marts.daily_revenue_per_category(m.sales, d["dim_date"], d["dim_products"], d["dim_product_categories"])
 
 
 def daily_revenue_per_supplier(spark, sf_dir):
     m = Model(spark, sf_dir)
     d = m.star
-    return marts.daily_revenue_per_supplier(m.fact, d["dim_date"], d["dim_products"], d["dim_suppliers"])
+    return marts.daily_revenue_per_supplier(m.sales, d["dim_date"], d["dim_products"], d["dim_suppliers"])
 
 
 def sale_lines_erd(spark, sf_dir):
@@ -237,12 +244,46 @@ def load_replace(spark, sf_dir):
 
 
 def load_append(spark, sf_dir):
-    """K2: the item dimension inserted twice (a re-run of ``INSERT ... SELECT``)."""
+    """K2: a mart without a key inserted twice (a re-run of ``INSERT ... SELECT`` adds its rows again)."""
+    mart = daily_revenue_per_category(spark, sf_dir)
+    table = f"{_database(spark, 'presentation')}.daily_order_revenue_per_categories"
+    load.append(mart, table)
+    load.append(mart, table)
+    return spark.table(table)
+
+
+def load_append_once(spark, sf_dir):
+    """K2, exactly once: the same mart in two batches, the second one sent twice; a batch id that is known adds nothing."""
+    mart = daily_revenue_per_supplier(spark, sf_dir)
+    table = f"{_database(spark, 'presentation')}.daily_order_revenue_per_suppliers"
+    versions.append_once(spark, table, mart.where(F.year("date") < 1996), "until-1995")
+    for _ in range(2):
+        versions.append_once(spark, table, mart.where(F.year("date") >= 1996), "from-1996")
+    return spark.table(table)
+
+
+def load_append_keyed(spark, sf_dir):
+    """K2 with a primary key: items in two batches; a third one that repeats stored items is rejected whole, by the
+    key's bitmaps and without reading the table."""
     items = Model(spark, sf_dir).erd["dim_order_items"]
     table = f"{_database(spark, 'dbo')}.dim_order_items"
-    load.append(items, table)
-    load.append(items, table)
-    return spark.table(table)
+    even, odd = items.where("order_id % 2 = 0"), items.where("order_id % 2 = 1")
+    keysets.append_keyed(spark, table, even, "order_items_key", "even")
+    keysets.append_keyed(spark, table, odd, "order_items_key", "odd")
+    try:
+        keysets.append_keyed(spark, table, items.where("order_id % 3 = 0"), "order_items_key", "again")
+    except ValueError as e:
+        if "primary key violation" in str(e):
+            return spark.table(table)
+        raise
+    raise AssertionError("items that the table has were appended again")
+
+
+def max_customer_id(spark, sf_dir):
+    """A3 from file footers: MAX(id) of stored customers without reading a column."""
+    path = new_scratch_dir(spark, "customers")
+    SourceTables(spark, sf_dir).customer.write.mode("overwrite").parquet(path)
+    return footers.max_of(spark, [path], "id").select(F.col("max").alias("max_id"))
 
 
 def load_overwrite_partitions(spark, sf_dir):
@@ -280,14 +321,55 @@ def upsert_orders_subset(spark, sf_dir):
 
 
 def upsert_partitions_incremental(spark, sf_dir):
-    """K3 on a table partitioned by a function of the key: only the partitions that the batch touches are
-    merged and rewritten, the others stay."""
-    d = Model(spark, sf_dir).star["dim_orders"].withColumn("part", F.floor(F.col("order_key") / 2048))
+    """K3 on a table in versions, partitioned and bucketed by its key: a batch of every 50th key range merges with these
+    partitions only. ``touched`` tells for each row whether the batch's version wrote its partition."""
+    d = Model(spark, sf_dir).star["dim_orders"].withColumn("part", F.floor(F.col("order_key") / 256))
     table = f"{_database(spark, 'dimensional')}.dim_orders"
-    load.replace(d.where(F.col("created_at") < F.lit(UPSERT_TARGET_BEFORE).cast("date")), table, ["part"])
-    batch = upsert_source(d.drop("part")).withColumn("part", F.floor(F.col("order_key") / 2048))
-    load.upsert_partitions(spark, table, batch, ["order_key"], ["status", "created_at"], ["part"])
-    return spark.table(table).drop("part")
+    layout = versions.Layout(("part",), ("order_key",), 4)
+    versions.upsert_versioned(spark, table, d, ["order_key"], ["status", "created_at"], layout)
+    batch = upsert_source(d.where("part % 50 = 3").drop("part")).withColumn("part", F.floor(F.col("order_key") / 256))
+    versions.upsert_versioned(spark, table, batch, ["order_key"], ["status", "created_at"], layout)
+    new = F.input_file_name().contains("/data/v=000002-")
+    return spark.table(table).select("order_key", "customers_key", "status", "created_at", new.alias("touched"))
+
+
+def sales_with_odd_prices(spark, sf_dir):
+    """M1's money columns with prices that are no short decimals (a seventh, binary noise) and odd discounts."""
+    m = Model(spark, sf_dir)
+    d = m.star
+    products = d["dim_products"].withColumn("price", odd_price(F.col("price"), F.col("products_key")))
+    coupons = d["dim_coupons"].withColumn("discount_percent", F.col("discount_percent") / 8)
+    fact = facts.fact_sales_orders(m.raw["order_items"], products, d["dim_orders"], None, coupons)
+    return fact.select("sale_order_key", "price_per_unit", "total", "discount", "fixed_total")
+
+
+def category_revenue_odd_prices(spark, sf_dir):
+    """M9 with the same prices."""
+    e = Model(spark, sf_dir).erd
+    products = e["dim_product"].withColumn("price", odd_price(F.col("price"), F.col("product_key")))
+    return erd.category_revenue(e["dim_product_categories"], products, e["dim_order_items"])
+
+
+def odd_price(price, key):
+    return F.when(key % 3 == 0, price / 7).when(key % 3 == 1, F.lit(0.1) + F.lit(0.2)).otherwise(price * 0.00012345)
+
+
+def daily_revenue_as_text(spark, sf_dir):
+    """M5 as its table is declared: revenue as TEXT with two decimals."""
+    return daily_revenue(spark, sf_dir).withColumn("revenue", money_text("revenue"))
+
+
+def scan_catalogue_sheets(spark, sf_dir):
+    """The three catalogue sheets as CSV exports with an unnamed index column, read back and joined by key."""
+    t = SourceTables(spark, sf_dir)
+    back = {}
+    for name in ("product_categories", "products", "suppliers"):
+        path = new_scratch_dir(spark, f"sheet-{name}")
+        files.write_csv(getattr(t, name), path, num_files=1)
+        back[name] = files.read_csv(spark, path, schemas.RAW[name])
+    c = back["product_categories"].select(F.col("id").alias("category_id"), F.col("name").alias("category"))
+    s = back["suppliers"].select(F.col("id").alias("supplier_id"), F.col("name").alias("supplier"), "country")
+    return back["products"].join(c, "category_id", "left").join(s, "supplier_id", "left").select("id", "name", "price", "category", "supplier", "country")
 
 
 # ----------------------------------------------------------------- constraint checks
@@ -355,6 +437,66 @@ def check_decimal_range(spark, sf_dir):
     ])
 
 
+def _stored_tables(m: Model) -> dict[str, DataFrame]:
+    """Every model table under its declared name."""
+    d = {f"dimensional.{n}": m.star[n] for n in dims.BUILDERS}
+    d["dimensional.fact_sales_orders"] = m.fact
+    d["dimensional.fact_product_performance"] = facts.product_performance(m.raw["products"], m.sales)
+    d["dimensional.fact_product_category_performance"] = facts.category_performance(m.star["dim_product_categories"], m.star["dim_products"], m.sales)
+    d["presentation.daily_order_revenue"] = marts.daily_revenue(m.sales, m.star["dim_date"])
+    d |= _erd_tables(m)
+    d["dbo.fact_sale_orders"] = erd.sale_lines(m.erd["dim_orders"], m.erd["dim_order_items"], m.erd["dim_product"])
+    d["dbo.fact_customer_activity"] = erd.customer_activity(m.erd["dim_login_attempts"])
+    return d
+
+
+def check_primary_key_all(spark, sf_dir):
+    """C1 for all 24 declared keys, on tables with repeated and NULL keys."""
+    tables = _stored_tables(Model(spark, sf_dir))
+    return quality.primary_key_report([(n, dirty.keys_damaged(tables[n], schemas.SPECS[n], k), [k]) for n, k in schemas.declared_keys()])
+
+
+def check_foreign_key_all(spark, sf_dir):
+    """C2 for the 11 declared foreign keys, on children with orphans."""
+    tables = _stored_tables(Model(spark, sf_dir))
+    return quality.foreign_key_report([
+        (f"{s.name}.{col}", dirty.orphaned(tables[s.name], s, s.primary_key[0], col), col, tables[parent], pcol)
+        for s in schemas.STAR for col, parent, pcol in s.foreign_keys])
+
+
+def check_foreign_key_batch(spark, sf_dir):
+    """C2 of a batch: new orders, some of customers that do not exist, against the bitmaps of the stored customer keys."""
+    m = Model(spark, sf_dir)
+    table = f"{_database(spark, 'dimensional')}.dim_customers"
+    layout = warehouse.layout_of("dim_customers")
+    versions.upsert_versioned(spark, table, warehouse.with_key_range(m.star["dim_customers"], "customers_key"), ["customers_key"], ["address"], layout, ("address",))
+    orders = m.star["dim_orders"]
+    spec = schemas.SPECS["dimensional.dim_orders"]
+    rows = orders.where("order_key % 4 = 0").select("order_key").join(orders, "order_key")
+    return keysets.orphans(spark, [("dim_orders.customers_key", dirty.orphaned(rows, spec, "order_key", "customers_key"), "customers_key",
+                                    keysets.sync(spark, table, "customers_key"))])
+
+
+def check_not_null_all(spark, sf_dir):
+    """C3 for every NOT NULL column of both models, on tables with NULLs."""
+    tables = _stored_tables(Model(spark, sf_dir))
+    return quality.not_null_report([(s.name, dirty.nulls(tables[s.name], s, s.primary_key[0]), s.not_null) for s in schemas.STAR + schemas.ERD if s.not_null])
+
+
+def check_length_all(spark, sf_dir):
+    """C4 for every VARCHAR(n) column, on tables with texts that are too long."""
+    tables = _stored_tables(Model(spark, sf_dir))
+    return quality.length_report([(s.name, dirty.overlong(tables[s.name], s, s.primary_key[0]), s.max_length) for s in schemas.STAR + schemas.ERD if s.max_length])
+
+
+def check_decimal_range_all(spark, sf_dir):
+    """C5 for both DECIMAL(10,2) columns, on tables with numbers beyond it."""
+    tables = _stored_tables(Model(spark, sf_dir))
+    return quality.decimal_range_report([
+        ("dbo.fact_sale_orders", dirty.huge(tables["dbo.fact_sale_orders"], "order_key", "sale_amount"), {"sale_amount": (10, 2)}),
+        ("dbo.fact_categories_performance", dirty.huge(tables["dbo.fact_categories_performance"], "category_performance_key", "total_revenue"), {"total_revenue": (10, 2)})])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_coupons": _star_dim("dim_coupons"),
     "dim_date": _star_dim("dim_date"),
@@ -397,4 +539,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_not_null": check_not_null,
     "check_length": check_length,
     "check_decimal_range": check_decimal_range,
+    "load_append_once": load_append_once,
+    "load_append_keyed": load_append_keyed,
+    "max_customer_id": max_customer_id,
+    "sales_with_odd_prices": sales_with_odd_prices,
+    "category_revenue_odd_prices": category_revenue_odd_prices,
+    "daily_revenue_as_text": daily_revenue_as_text,
+    "scan_catalogue_sheets": scan_catalogue_sheets,
+    "check_primary_key_all": check_primary_key_all,
+    "check_foreign_key_all": check_foreign_key_all,
+    "check_foreign_key_batch": check_foreign_key_batch,
+    "check_not_null_all": check_not_null_all,
+    "check_length_all": check_length_all,
+    "check_decimal_range_all": check_decimal_range_all,
 }

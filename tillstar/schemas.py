@@ -121,3 +121,23 @@ ERD = [
 ]
 
 SPECS = {s.name: s for s in STAR + ERD}
+
+
+def declared_keys() -> list[tuple[str, str]]:
+    """(table, key) of all 24 declared primary keys. The dbo sales fact declares its order key, although it holds a
+    row for each item: the check reports that."""
+    return [(s.name, s.primary_key[0]) if s.primary_key else (s.name, "order_key") for s in STAR + ERD if s.primary_key or s.name == f"{E}.fact_sale_orders"]
+
+
+_DDL = {T.LongType: "BIGINT", T.IntegerType: "INT", T.DoubleType: "DOUBLE", T.StringType: "STRING", T.BooleanType: "BOOLEAN", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP_NTZ"}
+
+
+def ddl(spec: TableSpec) -> str:
+    """The column list of the declared table: VARCHAR(n), DECIMAL(p,s) and NOT NULL as the DDL has them."""
+    out = []
+    for f in spec.schema.fields:
+        kind = f"VARCHAR({spec.max_length[f.name]})" if f.name in spec.max_length else _DDL[type(f.dataType)]
+        if f.name in spec.decimal:
+            kind = "DECIMAL({}, {})".format(*spec.decimal[f.name])
+        out.append(f"{f.name} {kind}" + (" NOT NULL" if f.name in spec.not_null or f.name in spec.primary_key else ""))
+    return ", ".join(out)
