@@ -125,3 +125,50 @@ def test_queries_read_whole_tables(spark):
         rows = query(spark, sf)
         if name.split("_")[0] in ("op1", "op2", "op6", "op7", "op8", "op9", "op10"):
             assert rows.count() == n, name
+
+
+def recall_of(rows, got, k=20):
+    """Mean recall over queries of unique ids against brute force."""
+    ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    shares = []
+    for at in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[at]
+        s[at] = -np.inf
+        shares.append(len(set(ids[np.lexsort((ids, -s))[:k]].tolist()) & got[int(ids[at])]) / k)
+    return np.mean(shares)
+
+
+def test_clustered_vectors_are_pruned(spark):
+    """On clustered vectors a query compares under a fifth of the rows and finds at least 0.9 of its neighbours."""
+    rng = np.random.default_rng(8)
+    centers = rng.standard_normal((60, 32))
+    x = centers[rng.integers(0, 60, 12_000)] + 0.15 * rng.standard_normal((12_000, 32))
+    rows = [(i, v.tolist(), 0, "a", "b") for i, v in enumerate(x)]
+    told, got = {}, {}
+    for r in ann.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double")), told=told).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert recall_of(list(enumerate(x)), got) >= 0.9
+    assert told["share"] < 0.2 and told["leaves"] >= 40, told
+
+
+def test_leaves_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 256)
+    monkeypatch.setattr(ann, "LEAF_SAMPLE", 64)
+    monkeypatch.setattr(ann, "FINE_ROWS", 50)
+    rng = np.random.default_rng(9)
+    leaves = []
+    for n in (1000, 4000):
+        told = {}
+        x = rng.standard_normal((n, 8))
+        got = {}
+        for r in ann.nearest(spark.createDataFrame([(i, v.tolist(), 0, "a", "b") for i, v in enumerate(x)], SCHEMA.replace("float", "double")), told=told).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        assert recall_of(list(enumerate(x)), got) >= 0.9
+        leaves.append(told["leaves"])
+    assert leaves[1] >= 2.5 * leaves[0], leaves
+
+
+def test_rows_that_repeat_an_id_are_all_compared(spark):
+    rows = [(0, [0.0, 1.0], 0, None, None), (0, [1.0, 0.0], 0, None, None), (2, [1.0, 0.001], 0, None, None), (3, [1.0, 0.002], 0, None, None)]
+    got = sorted(map(tuple, ann.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()))
+    assert got == sorted([(0, 1, 3, 0.002), (0, 2, 2, 0.001), (0, 3, 0, 0.0), (0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 3, 0, 0.0)])
