@@ -172,3 +172,11 @@ def test_rows_that_repeat_an_id_are_all_compared(spark):
     rows = [(0, [0.0, 1.0], 0, None, None), (0, [1.0, 0.0], 0, None, None), (2, [1.0, 0.001], 0, None, None), (3, [1.0, 0.002], 0, None, None)]
     got = sorted(map(tuple, ann.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()))
     assert got == sorted([(0, 1, 3, 0.002), (0, 2, 2, 0.001), (0, 3, 0, 0.0), (0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 3, 0, 0.0)])
+
+
+def test_links_of_rows_that_repeat_an_id_and_of_copies(spark):
+    near = [(1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.001]), (3, [1.0, 0.002]), (9, [-1.0, 0.5])]
+    rows = [(i, v, 0, None, None) for i, v in near] + [(10 + k, [0.5, -1.0], 0, None, None) for k in range(700)] + [(5, [0.5, -1.0], 1, None, None), (2, None, 0, None, None)]
+    got = sorted(map(tuple, embed_dedup.deduplicate(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()))
+    want = [(1, 0, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (9, 0, 9, True), (5, 0, 5, True), (2, 0, 2, True)]
+    assert got == sorted(want + [(10 + k, 699, 10, k == 0) for k in range(700)])

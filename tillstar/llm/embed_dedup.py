@@ -117,7 +117,7 @@ def sweep(threshold: float, window: int):
                 head = (group[:window], ids[:window], x[:window]) if head is None else tuple(np.concatenate([h, n[old:][:window - len(head[1])]]) for h, n in zip(head, (group, ids, x), strict=True))
             a, b = near(key, ids, x, threshold, window, old)
             if len(a):
-                yield links(a, b)
+                yield links(*stars(a, b))
             group, ids, x = group[-window:], ids[-window:], x[-window:]
         if head is not None:
             yield border(0, *head)
@@ -149,18 +149,17 @@ def passes_links(rows: DataFrame, dim: int, passes: range, folder: str, threshol
 
 
 def complete(threshold: float):
-    """Counts per (row of block i, block j): vectors of block j within the threshold of it, itself not counted."""
+    """Counts per (vector of block i, block j): rows of block j within the threshold of it, itself counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, others = (batch.column(c)[k].values.to_numpy() for c in ("ids", "other_ids"))
+                ids, times = batch.column("ids")[k].values.to_numpy(), batch.column("other_times")[k].values.to_numpy()
                 x, y = (matrix(batch.column(c)[k].values) for c in ("vs", "other_vs"))
                 close = unit(x) @ unit(y).T
                 sure = close >= threshold + 1e-9
                 for i, j in np.argwhere(~sure & (close >= threshold - 1e-9)):
                     sure[i, j] = cosine(x[i:i + 1], y[j:j + 1])[0] >= threshold
-                n = sure.sum(1) - (sure & (ids[:, None] == others[None])).sum(1)
-                yield pa.record_batch([pa.array(ids), pa.array(n.astype(np.int64))], ["id", "n"])
+                yield pa.record_batch([pa.array(ids), pa.array(sure @ times.astype(np.int64))], ["id", "n"])
     return run
 
 
@@ -216,15 +215,19 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embed
     """(vec_id, n_links, component_id, kept), one row per row.
 
     Vectors that are null, zero, or hold null or non-finite components, and those without label or
-    id, link with nothing: n_links 0, and component_id is their own vec_id (null for a null one, kept then). Rows that repeat
-    a vec_id share its result, which is that of the least vector under it; vectors of different lengths are an error. Other columns are not
-    read. No rows give no rows.
+    id, link with nothing: n_links 0, and component_id is their own vec_id (null for a null one, kept then). Rows that
+    repeat a vec_id are rows of their own: each is compared with every other row and gets its own result. Equal vectors
+    of a label are one node with a count. Vectors of different lengths are an error. Other columns are not read. No rows
+    give no rows.
     """
     spark = vectors.sparkSession
     folder = run_folder(spark, "vectors")
-    named = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(label).cast("int").alias("label"), F.col(vector).cast("array<double>").alias("v"))
-    rows = named.where(usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull())
-    rows = cut(rows.groupBy("id").agg(F.min(F.struct("label", "v")).alias("r")).select("id", "r.label", "r.v"), folder, "vectors")
+    named = vectors.select(F.col(id_col).cast("bigint").alias("vec"), F.col(label).cast("int").alias("label"), F.col(vector).cast("array<double>").alias("v"))
+    takes_part = usable("v") & F.col("label").isNotNull() & F.col("vec").isNotNull()
+    named = cut(named.withColumn("row", F.monotonically_increasing_id()).withColumn("in", takes_part), folder, "rows")
+    # a node: the equal vectors of a label, under the number of one of its rows
+    nodes = cut(named.where("in").groupBy("label", "v").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("times"), F.min("vec").alias("least")), folder, "nodes")
+    rows = nodes.select("id", "label", "v")
     dim = dimension(rows, "v")
     links = None
     for p in range(0, passes if dim else 0, PASSES_PER_JOB):
@@ -238,14 +241,18 @@ def deduplicate(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embed
         classes = cut(components(links.unionAll(more), f"{folder}/second"), folder, "second-components")
     # members in blocks: a hash deals a component's members, so no block or pair of blocks grows with it
     size = classes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = rows.join(classes, rows["id"] == classes["node"]).join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    blocks = cut(members.groupBy("component", "blocks", "block").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs")), folder, "blocks")
-    other = blocks.select("component", F.col("block").alias("other"), F.col("ids").alias("other_ids"), F.col("vs").alias("other_vs"))
+    members = nodes.join(classes, nodes["id"] == classes["node"]).join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    blocks = cut(members.groupBy("component", "blocks", "block").agg(*[F.collect_list(c).alias(f"{c}s" if c != "times" else c) for c in ("id", "times", "v")]), folder, "blocks")
+    other = blocks.select("component", F.col("block").alias("other"), F.col("times").alias("other_times"), F.col("vs").alias("other_vs"))
     pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(other, ["component", "other"])
-    n = pairs.select("ids", "vs", "other_ids", "other_vs").mapInArrow(complete(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    out = classes.join(n, classes["node"] == n["id"]).select(F.col("node").alias("id"), "component", "n")
-    return (named.select("id").join(out, "id", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    n = pairs.select("ids", "vs", "other_times", "other_vs").mapInArrow(complete(threshold), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    smallest = members.groupBy("component").agg(F.min("least").alias("smallest"))
+    linked = members.select("id", "component").join(n, "id").join(smallest, "component").select("id", "n", "smallest")
+    # nodes that no link joins: their own copies only
+    result = nodes.join(linked, "id", "left").select("label", "v", F.coalesce("n", "times").alias("n"), F.coalesce("smallest", "least").alias("component"))
+    found = named.where("in").join(result, ["label", "v"]).select("vec", (F.col("n") - 1).alias("n"), "component")
+    out = found.unionAll(named.where("not in").select("vec", F.lit(0).cast("bigint"), "vec"))
+    return (out.select(F.col("vec").alias(id_col), F.col("n").alias("n_links"), F.col("component").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
