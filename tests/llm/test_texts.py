@@ -320,3 +320,16 @@ def test_base_hash_is_of_the_spans(spark):
     r = spark.createDataFrame([(1, "token=abcdefgh")], "doc_id long, text string")
     got = secrets.scan(r, run_folder(spark, "test-ledger")).select(secrets.spans_text(F.col("found"))).first()[0]
     assert got == "assign:0:14" and len(hashlib.sha256(got.encode()).hexdigest()) == 64
+
+
+def test_stages_keep_columns_under_any_name(spark):
+    """Columns named like those that the operators use inside, and map columns, pass through."""
+    rows = [(i, t, "en", "s", len(t), 5, "d", "n", {"k": i}) for i, t in enumerate(["one two three four five six", "one two three four five six", "password=abcdefgh12 is here", "seven eight"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __order int, __digest string, __node string, m map<string, int>")
+    cleaned = secrets.redact(docs, run_folder(spark, "test-ledger"))
+    assert cleaned.columns == docs.columns and {r["__digest"] for r in cleaned.collect()} == {"d"}
+    assert [r["text"] for r in cleaned.collect() if r["doc_id"] == 2] == ["[SECRET] is here"]
+    kept = jaccard.keep_one(docs, jaccard.Measure(5, 80, 100)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 3] and {r["__node"] for r in kept} == {"n"}
+    mixed = mixing.repeat(docs).collect()
+    assert {r["__order"] for r in mixed} == {5} and all(r["m"] == {"k": r["doc_id"]} for r in mixed)

@@ -104,6 +104,20 @@ def runs(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
 
 
+def free(df: DataFrame, label: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    name, taken = f"__{label}", {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def hashable(df: DataFrame) -> list[Column]:
+    """The columns in a form that hashes take: those that hold maps as JSON text."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+
+
 def fingerprint(df: DataFrame) -> tuple:
     row = df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
     return tuple(row)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import components, cut, hash_memo, mix64, n_partitions, run_folder, runs, steps, table, words_of
+from tillstar.llm.common import components, cut, free, hash_memo, mix64, n_partitions, run_folder, runs, steps, table, words_of
 
 SKETCH_WORDS = 16
 # Size bands grow by this factor at least, so that linked sets lie in one band or in neighbouring ones.
@@ -73,7 +73,7 @@ def shingles(token_hashes: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.
     begins = ends - lengths
     total = int(ends[-1]) if len(ends) else 0
     grams = np.zeros(total, np.uint64)
-    for j in range(n):
+    for j in range(min(n, total)):
         grams[:total - j] += mix64(token_hashes[j:] + odd[j % 8] * np.uint64(j // 8 + 1)) * odd[(j + 3) % 8]
     grams = mix64(grams)
     out, sizes = [], np.zeros(len(lengths), np.int64)
@@ -448,9 +448,10 @@ def keep_one(docs: DataFrame, measure: Measure) -> DataFrame:
     named = rows.where("n_shingles > 0").join(found, "node", "left")
     # the class is named by component_id, or by the text where nothing else links
     group = F.when(F.col("component_id").isNotNull(), F.struct(F.lit(1).alias("kind"), F.col("component_id").alias("id"))).otherwise(F.struct(F.lit(0).alias("kind"), F.col("node").alias("id")))
-    best = named.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("b")).select(F.col("b.doc_id").alias("__id"), F.col("b.node").alias("__node"))
-    best = best.select("__node", F.coalesce("__id", F.lit(MISSING)).alias("__did")).withColumn("__best", F.lit(True))
-    keyed = docs.withColumn("__node", F.xxhash64("text")).withColumn("__did", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(MISSING)))
+    node, did = free(docs, "node"), free(docs, "did")
+    best = named.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("b"))
+    best = best.select(F.col("b.node").alias(node), F.coalesce("b.doc_id", F.lit(MISSING)).alias(did))
+    keyed = docs.withColumn(node, F.xxhash64("text")).withColumn(did, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(MISSING)))
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = keyed.where(~wordless).join(best, ["__node", "__did"], "left_semi").dropDuplicates(["__node", "__did"])
+    kept = keyed.where(~wordless).join(best, [node, did], "left_semi").dropDuplicates([node, did])
     return kept.select(*docs.columns).unionAll(docs.where(wordless))

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import WORD, cut, run_folder, table
+from tillstar.llm.common import WORD, cut, free, hashable, run_folder, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -136,7 +136,7 @@ def rank_sources(sources: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 10, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, block_docs: int = BLOCK_DOCS,
-        identity: tuple[str, ...] = ("doc_id", "source", "text")) -> DataFrame:
+        identity: tuple[str | Column, ...] = ("doc_id", "source", "text")) -> DataFrame:
     """(row, order, doc_id, source, size, source_size, target, copies) of every row; ``copies`` is 0, 1 or 2.
 
     ``order`` is a hash of the ``identity`` columns; rows alike in them are each decided by themselves. Null texts have size 0; a null source is a source of its own, the last. Sources
@@ -180,10 +180,10 @@ def repeat(docs: DataFrame) -> DataFrame:
     Rows alike in all columns are one text that is taken as often as they are together. Without a row
     number to join on, rows meet their copies by a hash of all columns.
     """
-    cols = tuple(docs.columns)
-    copies = mix(docs, identity=cols).groupBy(F.col("order").alias("__order")).agg(F.sum("copies").cast("int").alias("__copies")).where("__copies > 0")
-    keyed = docs.withColumn("__order", F.xxhash64(*cols)).join(copies, "__order").dropDuplicates(["__order"])
-    return keyed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*cols)
+    order, copies, copy = free(docs, "order"), free(docs, "copies"), free(docs, "copy")
+    taken = mix(docs, identity=tuple(hashable(docs))).groupBy(F.col("order").alias(order)).agg(F.sum("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
+    keyed = docs.withColumn(order, F.xxhash64(*hashable(docs))).join(taken, order).dropDuplicates([order])
+    return keyed.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

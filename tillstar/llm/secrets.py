@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import run_folder, steps, table
+from tillstar.llm.common import free, run_folder, steps, table
 from tillstar.llm.token_counts import content, has_rows
 
 
@@ -136,12 +136,13 @@ def redact(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Dat
     Rows without findings stay as they are, null texts included. Columns besides text and n_chars
     pass through under any name.
     """
-    found = findings_by_blob(docs, ledger, rules).select(F.col("digest").alias("__digest"), F.col("found").alias("__found"))
-    keyed = docs.withColumn("__digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    out = keyed.join(found, "__digest", "left")
-    clean = F.when(F.col("__found").isNull(), F.col("text")).otherwise(cut_out(F.col("text"), F.col("__found")))
+    digest, spans = free(docs, "digest"), free(docs, "found")
+    found = findings_by_blob(docs, ledger, rules).select(F.col("digest").alias(digest), F.col("found").alias(spans))
+    keyed = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    out = keyed.join(found, digest, "left")
+    clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut_out(F.col("text"), F.col(spans)))
     out = out.withColumn("text", clean)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(length))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(length))
     return out.select(*docs.columns)

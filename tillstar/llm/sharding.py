@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import cut, run_folder, table
+from tillstar.llm.common import cut, free, run_folder, table
 
 SHARDS = 8
 SEED = "tillstar"
@@ -118,14 +118,6 @@ def number(rows: DataFrame, key: str, folder: str) -> tuple[DataFrame, int]:
     return out, n
 
 
-def free(df: DataFrame, label: str) -> str:
-    """A column name that ``df`` does not have."""
-    name = f"__{label}"
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return name
-
-
 def deal(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, folder: str | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, row, shard, slot): the place of every document.
 
