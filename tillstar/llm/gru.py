@@ -18,6 +18,8 @@ RARE, START = WORDS, WORDS + 1
 # Steps through which training propagates back; steps that scoring takes at once.
 WINDOW, SCORE_WINDOW = 16, 64
 MOST_LANES, LEAST_LANES = 384, 32
+# Words of a document beyond which scoring gives it a lane that is never laid out whole.
+LONG = 32_768
 # Words of a document that training takes in one go.
 SEGMENT = 2048
 # Words of a step of the optimiser at least, and its rate.
@@ -132,10 +134,46 @@ def exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     return e, e.sum(1), top
 
 
+def log_chances(p: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each id after its state; padding (-1) has none that counts."""
+    logits = h @ p["c"] + p["cb"]
+    _, total, top = exp_sum(logits)
+    logp = logits[np.arange(len(ids)), np.where(ids >= 0, ids // CLASS_WORDS, 0)] - top - np.log(total)
+    for c, at in by_class(ids):
+        inner = h[at] @ p["w"][c] + p["wb"][c]
+        _, total, top = exp_sum(inner)
+        logp[at] += inner[np.arange(len(at)), ids[at] - c * CLASS_WORDS] - top - np.log(total)
+    return logp
+
+
 def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each document's ids (a rare word counts as its class only)."""
-    p, lanes = views(flat), deal(tokens, lengths)
-    out = np.zeros(len(lengths))
+    """Natural log-probability of each document's ids (a rare word counts as its class only).
+
+    Documents of more than LONG words are lanes of their own that are read window by window, so that memory does
+    not grow with a document's length times the number of lanes.
+    """
+    p, out = views(flat), np.zeros(len(lengths))
+    begins = np.cumsum(lengths) - lengths
+    long = np.flatnonzero(lengths > LONG)
+    long = long[np.argsort(-lengths[long], kind="stable")]
+    state = np.zeros((len(long), HIDDEN), np.float32)
+    for a in range(0, int(lengths[long].max()) if len(long) else 0, SCORE_WINDOW):
+        live = long[lengths[long] > a]
+        at = a + np.arange(SCORE_WINDOW)[:, None]
+        inside = at < lengths[live]
+        ids = np.where(inside, tokens[np.minimum(begins[live] + at, len(tokens) - 1)], -1)
+        prev = np.where(inside, tokens[np.minimum(begins[live] + np.maximum(at - 1, 0), len(tokens) - 1)], RARE)
+        if a == 0:
+            prev[0] = START
+        states, state, _ = recur(p, prev, state[:len(live)], False)
+        logp = log_chances(p, states.reshape(-1, HIDDEN), ids.ravel()).reshape(ids.shape)
+        out[live] += np.where(inside, logp, 0).sum(0, dtype=np.float64)
+    short = np.flatnonzero(lengths <= LONG)
+    if not len(short):
+        return out
+    if len(long):
+        tokens = tokens[np.repeat(lengths <= LONG, lengths)]
+    lanes, part = deal(tokens, lengths[short]), np.zeros(len(short))
     state = np.zeros((lanes.ids.shape[1], HIDDEN), np.float32)
     for a in range(0, len(lanes.ids), SCORE_WINDOW):
         live = int((lanes.lengths > a).sum())
@@ -143,14 +181,8 @@ def score(flat: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
         states, state, _ = recur(p, lanes.prev[window, :live], state[:live], False)
         ids, doc, h = lanes.ids[window, :live].ravel(), lanes.doc[window, :live].ravel(), states.reshape(-1, HIDDEN)
         real = ids >= 0
-        logits = h @ p["c"] + p["cb"]
-        _, total, top = exp_sum(logits)
-        logp = logits[np.arange(len(ids)), np.where(real, ids // CLASS_WORDS, 0)] - top - np.log(total)
-        for c, at in by_class(ids):
-            inner = h[at] @ p["w"][c] + p["wb"][c]
-            _, total, top = exp_sum(inner)
-            logp[at] += inner[np.arange(len(at)), ids[at] - c * CLASS_WORDS] - top - np.log(total)
-        out += np.bincount(doc[real], weights=logp[real].astype(np.float64), minlength=len(lengths))
+        part += np.bincount(doc[real], weights=log_chances(p, h, ids)[real].astype(np.float64), minlength=len(short))
+    out[short] = part
     return out
 
 
