@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.operators import load, versions
 from tillstar.plans import derived, dims, facts, marts, warehouse
-from tillstar.plans.warehouse import RAW_LAYOUT, _raw_rows
+from tillstar.plans.warehouse import RAW_LAYOUT, raw_rows
 
 TABLES = [("dim", n) for n in (*dims.BUILDERS, "fact_sales_orders", "fact_product_performance", "fact_product_category_performance")] + [
     ("pres", n) for n in ("daily_order_revenue_per_product", "daily_order_revenue", "daily_order_revenue_per_categories", "daily_order_revenue_per_suppliers",
@@ -51,7 +51,7 @@ def start(spark, scratch):
     for db in dbs.values():
         load.create_layer(spark, db, f"{scratch}/{db}")
     for name, rows in HISTORY.items():
-        versions.replace(spark, f"{dbs['raw']}.{name}", _raw_rows(name, frame(spark, name, rows)), RAW_LAYOUT)
+        versions.replace(spark, f"{dbs['raw']}.{name}", raw_rows(name, frame(spark, name, rows)), RAW_LAYOUT)
     warehouse.build_star(spark, dbs["raw"], dbs["dim"], dbs["pres"])
     return dbs
 
@@ -63,7 +63,7 @@ def whole(spark, dbs):
 def merge_raw(spark, dbs, batch):
     for name, rows in batch.items():
         update = [f.name for f in schemas.RAW[name].fields if f.name != "id"]
-        versions.upsert_versioned(spark, f"{dbs['raw']}.{name}", _raw_rows(name, frame(spark, name, rows)), ["id"], update, RAW_LAYOUT)
+        versions.upsert_versioned(spark, f"{dbs['raw']}.{name}", raw_rows(name, frame(spark, name, rows)), ["id"], update, RAW_LAYOUT)
 
 
 def run(spark, dbs, batch):

@@ -75,7 +75,7 @@ def update_columns(table: str) -> list[str]:
     return [f.name for f in spec.schema.fields if f.name not in keep]
 
 
-def _raw_rows(name: str, df: DataFrame) -> DataFrame:
+def raw_rows(name: str, df: DataFrame) -> DataFrame:
     """Raw rows with their key range; rows without an id, which only orders may hold, are kept in a range of their own."""
     return with_key_range(df, "id").withColumn("key_range", F.coalesce("key_range", F.lit(-1).cast("bigint")))
 
@@ -84,7 +84,7 @@ def ingest(spark: SparkSession, sources: Sequence[SourceSpec], raw_db: str, loca
     """Read every source, clean it, and replace its raw table (K1)."""
     load.create_layer(spark, raw_db, location)
     for spec in sources:
-        versions.replace(spark, f"{raw_db}.{spec.name}", _raw_rows(spec.name, clean(spec.name, read_source(spark, spec))), RAW_LAYOUT)
+        versions.replace(spark, f"{raw_db}.{spec.name}", raw_rows(spec.name, clean(spec.name, read_source(spark, spec))), RAW_LAYOUT)
 
 
 def _raw(spark: SparkSession, raw_db: str) -> dict[str, DataFrame]:
@@ -206,7 +206,7 @@ def build_batch(spark: SparkSession, batch: dict[str, DataFrame], raw_db: str, d
         _upsert(spark, dim_db, name, df, whole=False)
     for name, df in batch.items():
         update = [f.name for f in schemas.RAW[name].fields if f.name != "id"]
-        versions.upsert_versioned(spark, f"{raw_db}.{name}", _raw_rows(name, df), ["id"], update, RAW_LAYOUT)
+        versions.upsert_versioned(spark, f"{raw_db}.{name}", raw_rows(name, df), ["id"], update, RAW_LAYOUT)
 
     items = reliable_checkpoint(affected_items(spark, batch, raw_db))
     d = {n: spark.table(f"{dim_db}.{n}") for n in dims.BUILDERS}

@@ -5,8 +5,9 @@ new files of a source folder as they land and merges each micro-batch into the r
 the last row per id inside the batch (file name, split, row order), then an upsert by id, so a
 later file overrides an earlier one exactly as in the concatenated batch read.
 
-Progress lives in the checkpoint folder; every micro-batch is an idempotent upsert through a
-staging table, so a batch replayed after a failure leaves the same table.
+Progress lives in the checkpoint folder; every micro-batch is an idempotent upsert into a versioned table
+(``operators.versions``): it rewrites the key ranges it names, next to the old ones, and becomes visible whole, so a
+batch replayed after a failure leaves the same table, and the cost of a batch does not follow the size of the table.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstar.operators import load
+from tillstar.operators import versions
 from tillstar.operators.clean import RULES, clean
+from tillstar.plans.warehouse import RAW_LAYOUT, raw_rows
 from tillstar.schemas import RAW
 from tillstar.sources.files import _timestamp_text, with_read_position
 
@@ -58,7 +60,8 @@ def merge_batch(name: str, table: str):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         positioned = with_read_position(batch, [], meta="_meta").drop("_meta")
-        load.upsert_table(batch.sparkSession, table, clean(name, positioned), keys, update)
+        rows = clean(name, positioned)
+        versions.upsert_versioned(batch.sparkSession, table, raw_rows(name, rows), keys, update, RAW_LAYOUT)
     return run
 
 
