@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     e = sub.add_parser("all")
     e.add_argument("--sources", required=True)
     e.add_argument("--raw-db", required=True)
+    e.add_argument("--any-range", action="store_true")
     b = sub.add_parser("star")
     b.add_argument("--raw-db", required=True)
     b.add_argument("--dim-db", default=schemas.D)
@@ -52,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("dbo")
     c.add_argument("--raw-db", required=True)
     c.add_argument("--dbo-db", default=schemas.E)
+    c.add_argument("--any-range", action="store_true", help="store sums beyond DECIMAL(10,2) instead of failing")
     q = sub.add_parser("quality")
     q.add_argument("--dim-db", default=schemas.D)
     q.add_argument("--pres-db", default=schemas.P)
@@ -75,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         warehouse.ingest(spark, specs, args.raw_db)
         if args.cmd == "all":
             warehouse.build_star(spark, args.raw_db)
-            warehouse.build_erd(spark, args.raw_db)
+            warehouse.build_erd(spark, args.raw_db, ranges=not args.any_range)
             for t in ("daily_order_revenue", "daily_order_revenue_per_product",
                       "daily_order_revenue_per_categories", "daily_order_revenue_per_suppliers"):
                 print(f"{schemas.P}.{t}: {spark.table(f'{schemas.P}.{t}').count()} rows")
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         warehouse.build_star(spark, args.raw_db, args.dim_db, args.pres_db,
                              marts_mode="append" if args.append_marts else "overwrite_partitions")
     elif args.cmd == "dbo":
-        warehouse.build_erd(spark, args.raw_db, args.dbo_db)
+        warehouse.build_erd(spark, args.raw_db, args.dbo_db, ranges=not args.any_range)
     elif args.cmd == "quality":
         warehouse.quality_reports(spark, args.dim_db, args.pres_db, args.quality_db)
     else:

@@ -30,13 +30,13 @@ def create_layer(spark: SparkSession, database: str, location: str | None = None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
 
 
-def conform(df: DataFrame, table: str, enforce: bool = True) -> DataFrame:
+def conform(df: DataFrame, table: str, enforce: bool = True, ranges: bool = True) -> DataFrame:
     """Cast and order the columns as the declared table (K4 types, P3 implicit casts).
 
     With ``enforce``, the declared NOT NULL (and primary key) columns and VARCHAR(n) lengths are
     checked row by row and a violation fails the job, as the table's DDL rejects the statement
     (a codegen'd ``raise_error``, no extra pass). A declared DECIMAL(p,s) column is rounded to its scale and a value
-    beyond its range fails; it is stored as DOUBLE."""
+    beyond its range fails; it is stored as DOUBLE. Without ``ranges`` it is stored as it is."""
     spec = SPECS.get(table)
     if spec is None:
         return df
@@ -48,7 +48,7 @@ def conform(df: DataFrame, table: str, enforce: bool = True) -> DataFrame:
             n = spec.max_length[f.name]
             c = F.when(F.length(c) > n, F.raise_error(F.lit(f"{table}.{f.name}: value longer than VARCHAR({n})"))
                        ).otherwise(c)
-        if enforce and f.name in spec.decimal:
+        if enforce and ranges and f.name in spec.decimal:
             kind = "decimal({},{})".format(*spec.decimal[f.name])
             fits = F.col(f.name).try_cast(kind)
             c = F.when(F.col(f.name).isNotNull() & fits.isNull(), F.raise_error(F.lit(f"{table}.{f.name}: value beyond {kind.upper()}"))
