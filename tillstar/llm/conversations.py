@@ -487,3 +487,58 @@ def report(conversations: DataFrame, damaged: DataFrame, folder: str) -> DataFra
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return report(conversations, damage(conversations), run_folder(spark, "conversations"))
+
+
+def oracle_sql() -> str:
+    """DuckDB: the same DP by recursion over suffixes, with the audit and the repaired text carried along as strings."""
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def way(cost: str, letter: str, line: str | None, behind: str) -> str:
+        body = f"{behind}.body" if line is None else f"{line} || CASE WHEN {behind}.body = '' THEN '' ELSE chr(10) || {behind}.body END"
+        return f"{{c: {cost} + {behind}.c, a: '{letter}' || {behind}.a, body: {body}}}"
+
+    def row_ways(state: str, cls_next: dict[str, str], forced: str, said: str) -> str:
+        """Ways over a row: delete, keep where the initial allows it, rerole."""
+        never = "{c: 1000000000, a: '', body: ''}"
+        keep = " ".join(f"WHEN NOT must AND left(r.role, 1) = '{c}' THEN {way('short', 'K', 'r.role || chr(58) || r.text', f'w.{n}')}" for c, n in cls_next.items())
+        rerole = f"CASE WHEN must THEN {never} ELSE {way('2 + short', 'R', f'{said!r} || r.text', f'w.{forced}')} END"
+        return least(way("3", "D", None, f"w.{state}"), f"CASE {keep} ELSE {never} END", rerole)
+
+    return f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) AS t(i)),
+k AS (
+  SELECT *, regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..') AS bytes,
+    dense_rank() OVER (ORDER BY conv_id) AS conv FROM conversations),
+h AS (
+  SELECT conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(bytes, lambda x: ('0x' || x)::BIGINT), lambda c, x: xor(crc[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 20 AS harm
+  FROM k, crc_table),
+damaged AS (
+  SELECT conv, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM h WHERE harm <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+marked AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) AS nth FROM placed),
+r AS (
+  SELECT conv, turn, role, text, i, shown = '' AS blank, shown <> '' AND nth > 1 AS again,
+    shown <> '' AND nth = 1 AND right(shown, 1) NOT IN ('.', '!', '?') AS cut_off, blank OR again AS must, CASE WHEN cut_off THEN 1 ELSE 0 END AS short,
+    lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS pair
+  FROM marked),
+w AS (
+  SELECT conv, max(i) + 1 AS i, {{c: 0, a: '', body: ''}} AS b, {{c: 4, a: 'II', body: 'user:' || chr(10) || 'assistant:'}} AS s,
+    {{c: 2, a: 'I', body: 'assistant:'}} AS u, {{c: 0, a: '', body: ''}} AS e FROM r GROUP BY conv
+  UNION ALL
+  SELECT conv, i, {least("b", way("2", "I", "'user:'", "u2"))} AS b, {least("s", way("2", "I", "'user:'", "u2"))} AS s, u2 AS u, {least("e", way("2", "I", "'user:'", "u"))} AS e
+  FROM (SELECT *, {least("u", way("2", "I", "'assistant:'", "e"))} AS u2 FROM (
+    SELECT w.conv, r.i, {row_ways("b", {"s": "s", "u": "u"}, "u", "user:")} AS b, {row_ways("s", {"u": "u"}, "u", "user:")} AS s,
+      {row_ways("u", {"a": "e"}, "e", "assistant:")} AS u, {row_ways("e", {"u": "u"}, "u", "user:")} AS e
+    FROM w JOIN r ON r.conv = w.conv AND r.i = w.i - 1))),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate,
+    count(*) FILTER (WHERE cut_off) AS truncated, count(*) FILTER (WHERE i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.b.c, 0)::BIGINT AS cost, coalesce(w.b.a, '') AS audit, sha256(coalesce(w.b.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM k) AS ids LEFT JOIN counts USING (conv) LEFT JOIN w ON w.conv = ids.conv AND w.i = 1"""

@@ -6,7 +6,7 @@ accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from tillstar.llm import divergence, sharding
+from tillstar.llm import conversations, divergence, sharding
 from tillstar.llm.ann import op5_nearest_neighbours
 from tillstar.llm.conversations import op13_conversation_repair
 from tillstar.llm.divergence import op11_source_divergence
@@ -25,4 +25,6 @@ QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_quality_classifier, op4_embedding_near_dedup, op5_nearest_neighbours, op3_best_fit_packing, op6_toxicity, op7_secret_scans, op8_jaccard_join, op9_token_counts, op10_mixing,
     op11_source_divergence, op12_sharding, op13_conversation_repair,
 )}
-ORACLE_SQL: dict[str, str] = {"op11_source_divergence": divergence.oracle_sql(), "op12_sharding": sharding.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op11_source_divergence": divergence.oracle_sql(), "op12_sharding": sharding.oracle_sql(), "op13_conversation_repair": conversations.oracle_sql(),
+}
