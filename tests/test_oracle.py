@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 from conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _norm(v):
