@@ -168,3 +168,25 @@ def test_plain_table_of_the_same_name_is_refused(spark, db):
     load.replace(make(spark, 0, 3, 1), f"{db}.plain")
     with pytest.raises(ValueError, match="not kept in versions"):
         versions.upsert_versioned(spark, f"{db}.plain", make(spark, 0, 3, 1), ["id"], ["x"], BY_RANGE)
+
+
+@pytest.fixture()
+def orders_dir(spark, scratch):
+    """Orders 0 to 8191: those of an odd key range of 256 keys on an old day, the others on days around the batch's, some on none."""
+    from datetime import datetime
+    days = [datetime(1996, 5, 1), datetime(1998, 5, 1), datetime(2000, 5, 1), None]
+    rows = [(k, k % 7, "O", days[k % 4] if k // 256 % 2 == 0 else days[0]) for k in range(8192)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp").write.parquet(f"{scratch}/orders.parquet")
+    return scratch
+
+
+def test_incremental_upsert_takes_the_whole_batch(spark, orders_dir):
+    from tillstar import queries
+    got = {r.order_key: (r.customers_key, r.status, str(r.created_at), r.touched) for r in queries.upsert_partitions_incremental(spark, orders_dir).collect()}
+    want = {}
+    for k in range(8192):
+        even = k // 256 % 2 == 0
+        case = k % 4 if even else 0
+        day = ["1996-05-01", "1998-05-01", "2000-05-01", "None"][case]
+        want[k] = (k % 7 + (case == 2), "F" if case in (1, 2) else "O", day, even)
+    assert got == want
