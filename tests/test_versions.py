@@ -190,3 +190,18 @@ def test_incremental_upsert_takes_the_whole_batch(spark, orders_dir):
         day = ["1996-05-01", "1998-05-01", "2000-05-01", "None"][case]
         want[k] = (k % 7 + (case == 2), "F" if case in (1, 2) else "O", day, even)
     assert got == want
+
+
+def test_incremental_upsert_stores_few_partitions(spark, orders_dir, monkeypatch):
+    from tillstar import queries
+    written, write = [], versions._write
+
+    def spy(*args):
+        folder, specs = write(*args)
+        written.append((len(specs), spark.read.parquet(folder).select(F.input_file_name()).distinct().count()))
+        return folder, specs
+
+    monkeypatch.setattr(versions, "_write", spy)
+    assert queries.upsert_partitions_incremental(spark, orders_dir).where("touched").count() == 4096
+    # one partition of the warehouse's width, at most a file a bucket and task: neither grows with the ranges of 256 keys
+    assert len(written) == 2 and all(parts == 1 and files <= 64 for parts, files in written), written
