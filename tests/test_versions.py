@@ -205,3 +205,20 @@ def test_incremental_upsert_stores_few_partitions(spark, orders_dir, monkeypatch
     assert queries.upsert_partitions_incremental(spark, orders_dir).where("touched").count() == 4096
     # one partition of the warehouse's width, at most a file a bucket and task: neither grows with the ranges of 256 keys
     assert len(written) == 2 and all(parts == 1 and files <= 64 for parts, files in written), written
+
+
+@pytest.mark.parametrize("name,mart,rows_out", [("load_append", "daily_revenue_per_category", 2000)])
+def test_a_mart_loaded_twice_is_computed_once(spark, monkeypatch, name, mart, rows_out):
+    from tillstar import queries
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def revenue(i):
+        made.add(1)
+        return float(i)
+
+    days = spark.range(1000).select(F.expr("date_add(date'1994-01-01', cast(id as int))").alias("date"), F.lit("c").alias("category"),
+                                    F.col("id").alias("amount"), revenue.asNondeterministic()("id").alias("revenue"))
+    monkeypatch.setattr(queries, mart, lambda *_: days)
+    assert getattr(queries, name)(spark, "").count() == rows_out
+    assert made.value == 1000
