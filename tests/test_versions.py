@@ -207,7 +207,8 @@ def test_incremental_upsert_stores_few_partitions(spark, orders_dir, monkeypatch
     assert len(written) == 2 and all(parts == 1 and files <= 64 for parts, files in written), written
 
 
-@pytest.mark.parametrize("name,mart,rows_out", [("load_append", "daily_revenue_per_category", 2000)])
+@pytest.mark.parametrize("name,mart,rows_out", [
+    ("load_append", "daily_revenue_per_category", 2000), ("load_overwrite_partitions", "daily_revenue_per_category", 1000)])
 def test_a_mart_loaded_twice_is_computed_once(spark, monkeypatch, name, mart, rows_out):
     from tillstar import queries
     made = spark.sparkContext.accumulator(0)
