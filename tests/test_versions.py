@@ -208,7 +208,8 @@ def test_incremental_upsert_stores_few_partitions(spark, orders_dir, monkeypatch
 
 
 @pytest.mark.parametrize("name,mart,rows_out", [
-    ("load_append", "daily_revenue_per_category", 2000), ("load_overwrite_partitions", "daily_revenue_per_category", 1000)])
+    ("load_append", "daily_revenue_per_category", 2000), ("load_overwrite_partitions", "daily_revenue_per_category", 1000),
+    ("load_append_once", "daily_revenue_per_supplier", 1000)])
 def test_a_mart_loaded_twice_is_computed_once(spark, monkeypatch, name, mart, rows_out):
     from tillstar import queries
     made = spark.sparkContext.accumulator(0)
