@@ -90,44 +90,51 @@ def deal(tokens: np.ndarray, lengths: np.ndarray) -> Lanes:
     return Lanes(np.ascontiguousarray(ids.T), np.ascontiguousarray(prev.T), np.ascontiguousarray(doc.T), sizes[order])
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def recur(p: dict, prev: np.ndarray, state: np.ndarray, keep_all: bool):
     """States after each step of a window, and what the way back needs."""
     T, B, H = prev.shape[0], prev.shape[1], HIDDEN
-    inputs = p["x"][prev]
+    inputs = p["x"].take(prev, axis=0)
     states = np.empty((T, B, H), np.float32)
     tape = [] if keep_all else None
+    starts = prev == START
+    some = starts.any(1).tolist()
     for t in range(T):
-        fresh = prev[t] == START
-        if fresh.any():
-            state = state * ~fresh[:, None]
+        if some[t]:
+            state = state * ~starts[t][:, None]
         u = state @ p["h"]
-        zr = sigmoid(inputs[t, :, :2 * H] + u[:, :2 * H])
-        z, r = zr[:, :H], zr[:, H:]
-        n = np.tanh(inputs[t, :, 2 * H:] + r * u[:, 2 * H:])
+        un = u[:, 2 * H:]
+        zr = inputs[t, :, :2 * H] + u[:, :2 * H]      # to its sigmoid, in place
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        n = zr[:, H:] * un
+        n += inputs[t, :, 2 * H:]
+        np.tanh(n, out=n)
         if keep_all:
-            tape.append((state, zr, u[:, 2 * H:], n, fresh))
-        state = n + z * (state - n)
-        states[t] = state
+            tape.append((state, zr, un, n, starts[t] if some[t] else None))
+        step = state - n
+        step *= zr[:, :H]
+        state = np.add(step, n, out=states[t])
     return states, state, tape
 
 
-def by_class(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Positions of each class's words; rare words and padding have none."""
+def by_class(ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Positions ordered by their word's class, and (class, from, to) in them; rare words and padding have none."""
     cls = np.where(ids < 0, CLASSES, ids // CLASS_WORDS).astype(np.int16)
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    return [(c, order[cuts[c]:cuts[c + 1]]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    return order[:cuts[CLASSES]], [(c, cuts[c], cuts[c + 1]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+
+
+ONES = np.ones(max(CLASS_WORDS, CLASSES + 1), np.float32)
 
 
 def exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """exp(x - top), its sums by row, and top, which is 0 unless the plain exponentials leave their range."""
     e = np.exp(x)
-    s = e @ np.ones(x.shape[1], np.float32)
-    if np.isfinite(s).all() and s.all():
+    s = e @ ONES[:x.shape[1]]
+    if not len(s) or s.min() > 0 and s.max() < np.inf:
         return e, s, 0.0
     top = x.max(1)
     e = np.exp(x - top[:, None])
@@ -136,13 +143,18 @@ def exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
 
 def log_chances(p: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log-probability of each id after its state; padding (-1) has none that counts."""
-    logits = h @ p["c"] + p["cb"]
+    logits = h @ p["c"]
+    logits += p["cb"]
     _, total, top = exp_sum(logits)
     logp = logits[np.arange(len(ids)), np.where(ids >= 0, ids // CLASS_WORDS, 0)] - top - np.log(total)
-    for c, at in by_class(ids):
-        inner = h[at] @ p["w"][c] + p["wb"][c]
+    order, classes = by_class(ids)
+    sorted_h, sorted_ids, sorted_logp = h.take(order, axis=0), ids[order], np.empty(len(order), logp.dtype)
+    for c, a, b in classes:
+        inner = sorted_h[a:b] @ p["w"][c]
+        inner += p["wb"][c]
         _, total, top = exp_sum(inner)
-        logp[at] += inner[np.arange(len(at)), ids[at] - c * CLASS_WORDS] - top - np.log(total)
+        sorted_logp[a:b] = inner[np.arange(b - a), sorted_ids[a:b] - c * CLASS_WORDS] - top - np.log(total)
+    logp[order] += sorted_logp
     return logp
 
 
@@ -198,29 +210,42 @@ def gradient(p: dict, g: dict, prev: np.ndarray, ids: np.ndarray, state: np.ndar
     g["c"] += h.T @ d
     g["cb"] += d.sum(0)
     dh = d @ p["c"].T
-    for c, at in by_class(flat_ids):
-        hc = h[at]
-        d, total, _ = exp_sum(hc @ p["w"][c] + p["wb"][c])
+    order, classes = by_class(flat_ids)
+    sorted_h, sorted_ids, sorted_dh = h.take(order, axis=0), flat_ids[order], np.empty((len(order), H), np.float32)
+    for c, a, b in classes:
+        hc, x = sorted_h[a:b], sorted_h[a:b] @ p["w"][c]
+        x += p["wb"][c]
+        d, total, _ = exp_sum(x)
         d /= total[:, None]
-        d[np.arange(len(at)), flat_ids[at] - c * CLASS_WORDS] -= 1
+        d[np.arange(b - a), sorted_ids[a:b] - c * CLASS_WORDS] -= 1
         g["w"][c] += hc.T @ d
         g["wb"][c] += d.sum(0)
-        dh[at] += d @ p["w"][c].T
+        np.matmul(d, p["w"][c].T, out=sorted_dh[a:b])
+    dh[order] += sorted_dh
     dh = dh.reshape(T, B, H)
     into = np.empty((T, B, 3 * H), np.float32)
     back = np.zeros((B, H), np.float32)
     for t in range(T - 1, -1, -1):
         before, zr, un, n, fresh = tape[t]
-        z, r = zr[:, :H], zr[:, H:]
-        back = back + dh[t]
-        dn = back * (1 - z) * (1 - n * n)
-        du = np.concatenate([back * (before - n), dn * un], 1)
-        du *= zr * (1 - zr)
-        into[t, :, :2 * H], into[t, :, 2 * H:] = du, dn
-        du = np.concatenate([du, dn * r], 1)
+        z, r, du = zr[:, :H], zr[:, H:], into[t]
+        back += dh[t]
+        dn = 1 - z
+        dn *= back
+        slope = n * n
+        np.subtract(1, slope, out=slope)
+        dn *= slope
+        np.multiply(back, before - n, out=du[:, :H])
+        np.multiply(dn, un, out=du[:, H:2 * H])
+        slope = 1 - zr
+        slope *= zr
+        du[:, :2 * H] *= slope
+        du[:, 2 * H:] = dn
+        du = du.copy()
+        du[:, 2 * H:] *= r
         g["h"] += before.T @ du
-        back = back * z + du @ p["h"].T
-        if fresh.any():
+        back *= z
+        back += du @ p["h"].T
+        if fresh is not None:
             back *= ~fresh[:, None]
     symbol = prev.ravel()
     order = np.argsort(symbol, kind="stable")
